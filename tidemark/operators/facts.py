@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,4 +73,6 @@ def append_fact(
     """
     if existing is None:
         return new_rows
-    return new_rows.join(existing.select(*keys), list(keys), "left_anti")
+    stored = existing.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return new_rows.join(stored, same, "left_anti")

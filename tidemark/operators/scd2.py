@@ -5,9 +5,9 @@ date. Deletion closes the open version and opens a tombstone, a copy flagged ``Y
 
 The one-pass applies return the rows to store next to a ``state`` column:
 
-``open``    the new open set, replacing the old one
-``closed``  versions closed by this run, to be appended to the closed ones
-``late``    input that came after a newer version of its key; kept aside, never applied
+``open``      the new open set, replacing the old one
+``closed``    versions closed by this run, to be appended to the closed ones
+``rejected``  input that cannot be applied: it has no key, or is older than what is stored
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tidemark.operators.diff import differs, snapshot_deleted
 from tidemark.schemas import DELETED, LIVE
 
 STATE = "state"
-OPEN, CLOSED, LATE = "open", "closed", "late"
+OPEN, CLOSED, REJECTED = "open", "closed", "rejected"
 
 
 def scd2_insert_versions(rows: DataFrame, key: str, attrs: list[str], start: Moment) -> DataFrame:
@@ -89,6 +89,12 @@ def _version(
     )
 
 
+def _keyless(rows: DataFrame, key: str, attrs: list[str], start: Column) -> DataFrame:
+    """Input rows without a key, as rejected rows; no version could ever match them."""
+    rejected = _version("", attrs, start, high(), F.lit(LIVE), REJECTED).alias("_row")
+    return rows.where(F.col(key).isNull()).select(key, rejected).select(key, "_row.*")
+
+
 def scd2_apply_snapshot(
     open_rows: DataFrame,
     snap: DataFrame,
@@ -110,8 +116,10 @@ def scd2_apply_snapshot(
     the snapshot unique already places it for the join: one shuffle per side.
     """
     eff, run = ntz(eff_ts), ntz(eff_ts if run_ts is None else run_ts)
-    snap = one_row_per(snap.where(F.col(key).isNotNull()), [key], attrs).alias("s")
-    joined = open_rows.alias("o").join(snap, F.col(f"o.{key}") == F.col(f"s.{key}"), "full_outer")
+    given = one_row_per(snap.where(F.col(key).isNotNull()), [key], attrs)
+    joined = open_rows.alias("o").join(
+        given.alias("s"), F.col(f"o.{key}") == F.col(f"s.{key}"), "full_outer"
+    )
 
     known, present = F.col(f"o.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     start, flag = F.col("o.effective_from"), F.col("o.deleted_flg")
@@ -124,7 +132,7 @@ def scd2_apply_snapshot(
     replaced = _version("o.", attrs, start, before(eff), flag, CLOSED)
     ended = _version("o.", attrs, start, before(run), flag, CLOSED)
     tombstone = _version("o.", attrs, run, high(), F.lit(DELETED), OPEN)
-    late = _version("s.", attrs, eff, high(), F.lit(LIVE), LATE)
+    late = _version("s.", attrs, eff, high(), F.lit(LIVE), REJECTED)
 
     rows = (
         F.when(~known, F.array(fresh))
@@ -133,9 +141,10 @@ def scd2_apply_snapshot(
         .when(gone, F.array(ended, tombstone))
         .otherwise(F.array(kept))
     )
-    return joined.select(
+    applied = joined.select(
         F.coalesce(F.col(f"o.{key}"), F.col(f"s.{key}")).alias(key), F.explode(rows).alias("_row")
     ).select(key, "_row.*")
+    return applied.unionByName(_keyless(snap, key, attrs, eff))
 
 
 def scd2_apply_incremental(
@@ -216,7 +225,7 @@ def scd2_apply_incremental(
     gone = (flag == LIVE) & F.col("_live").isNull() & (start < run)
 
     result = (
-        F.when(late, F.array(_version("", attrs, start, high(), flag, LATE)))
+        F.when(late, F.array(_version("", attrs, start, high(), flag, REJECTED)))
         .when(
             successor.isNotNull(),
             F.array(_version("", attrs, start, before(successor), flag, CLOSED)),
@@ -230,15 +239,14 @@ def scd2_apply_incremental(
         )
         .otherwise(F.array(_version("", attrs, start, high(), flag, OPEN)))
     )
-    return (
-        chained.where(~copy)
-        .select(key, F.explode(result).alias("_row"))
-        .select(key, "_row.*")
+    applied = (
+        chained.where(~copy).select(key, F.explode(result).alias("_row")).select(key, "_row.*")
     )
+    return applied.unionByName(_keyless(changes, key, attrs, F.col(change_ts)))
 
 
 def history_of(applied: DataFrame, closed: DataFrame | None = None) -> DataFrame:
     """The whole history after an apply: its open and closed rows, plus earlier closed ones."""
-    rows = applied.where(F.col(STATE) != LATE).drop(STATE)
+    rows = applied.where(F.col(STATE) != REJECTED).drop(STATE)
     return rows if closed is None else rows.unionByName(closed.select(*rows.columns))
 
