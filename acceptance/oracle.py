@@ -388,6 +388,129 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         WHERE valid_to < TIMESTAMP '2024-01-15 23:59:59'
         """,
     ),
+    "src_file_date": (
+        "",
+        """
+        SELECT o_orderkey AS id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS file_date
+        FROM orders
+        """,
+    ),
+    "src_workbook": (
+        "",
+        """
+        SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation,
+        TIMESTAMP '2023-01-01 00:00:00' + to_days((c_custkey % 800)::INT) AS valid_to
+        FROM customer
+        """,
+    ),
+    "validate_history": (
+        "",
+        """
+        , versions AS (
+            SELECT o_custkey AS k, o_orderdate AS f,
+            CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 30 DAY
+            ELSE TIMESTAMP '2999-12-31 00:00:00' END AS t
+            FROM orders
+        ), starts AS (
+            SELECT k, f, count(*) AS n, max(t) AS t FROM versions GROUP BY k, f
+        ), chain AS (
+            SELECT t, lead(f) OVER (PARTITION BY k ORDER BY f) AS nxt FROM starts
+        ), keys AS (
+            SELECT k, count(*) FILTER (WHERE t = TIMESTAMP '2999-12-31 00:00:00') AS n
+            FROM versions GROUP BY k
+        )
+        SELECT 'open_rows' AS check_name, count(*) AS violations FROM keys WHERE n <> 1
+        UNION ALL SELECT 'reversed', count(*) FROM versions WHERE f > t
+        UNION ALL SELECT 'duplicate_start', count(*) FROM starts WHERE n > 1
+        UNION ALL SELECT 'broken_chain', count(*) FROM chain WHERE t <> nxt - INTERVAL 1 SECOND
+        """,
+    ),
+    "feed_stream": (
+        "",
+        """
+        SELECT CAST(o_orderkey AS VARCHAR) AS trans_id, o_orderdate AS trans_date,
+        CAST(o_custkey AS VARCHAR) AS card_num, o_orderpriority AS oper_type,
+        CAST(o_totalprice AS DECIMAL(18,2)) AS amt, o_orderstatus AS oper_result, 'T1' AS terminal
+        FROM orders
+        """,
+    ),
+    "terminals_load": (
+        "cust_v1 cust_v2",
+        """
+        , both_days AS (
+            SELECT a.k, a.nm, a.seg, a.nk, b.k AS k2,
+            b.k IS NULL OR a.nm IS DISTINCT FROM b.nm OR a.seg IS DISTINCT FROM b.seg
+            OR a.nk IS DISTINCT FROM b.nk AS ends
+            FROM cust_v1 a LEFT JOIN cust_v2 b ON a.k = b.k
+        ), versions AS (
+            SELECT k, nm, seg, nk, TIMESTAMP '2021-03-01 00:00:00' AS f,
+            CASE WHEN ends THEN TIMESTAMP '2021-03-01 23:59:59'
+            ELSE TIMESTAMP '2999-12-31 00:00:00' END AS t, 'N' AS flg
+            FROM both_days
+            UNION ALL
+            SELECT k, nm, seg, nk, TIMESTAMP '2021-03-02 00:00:00',
+            TIMESTAMP '2999-12-31 00:00:00', 'Y'
+            FROM both_days WHERE k2 IS NULL
+            UNION ALL
+            SELECT k, nm, seg, nk, TIMESTAMP '2021-03-02 00:00:00',
+            TIMESTAMP '2999-12-31 00:00:00', 'N'
+            FROM cust_v2 WHERE k NOT IN (SELECT k FROM both_days WHERE NOT ends)
+        )
+        SELECT CAST(k AS VARCHAR) AS terminal_id, seg AS terminal_type, nm AS terminal_city,
+        CAST(nk AS VARCHAR) AS terminal_address, f AS effective_from, t AS effective_to,
+        flg AS deleted_flg
+        FROM versions
+        """,
+    ),
+    "cards_load": (
+        "",
+        """
+        , cards AS (
+            SELECT CAST(o_orderkey AS VARCHAR) AS card_num, CAST(o_custkey AS VARCHAR) AS account_num,
+            o_orderdate AS f, o_orderkey % 11 <> 5 AND o_orderkey % 3 = 0 AS moved,
+            o_orderkey % 11 = 5 AS gone
+            FROM orders
+        )
+        SELECT card_num, account_num, f AS effective_from,
+        CASE WHEN moved THEN TIMESTAMP '2010-01-01 07:59:59'
+        WHEN gone THEN TIMESTAMP '2010-01-01 23:59:59'
+        ELSE TIMESTAMP '2999-12-31 00:00:00' END AS effective_to, 'N' AS deleted_flg
+        FROM cards
+        UNION ALL
+        SELECT card_num, 'moved', TIMESTAMP '2010-01-01 08:00:00',
+        TIMESTAMP '2999-12-31 00:00:00', 'N'
+        FROM cards WHERE moved
+        UNION ALL
+        SELECT card_num, account_num, TIMESTAMP '2010-01-02 00:00:00',
+        TIMESTAMP '2999-12-31 00:00:00', 'Y'
+        FROM cards WHERE gone
+        """,
+    ),
+    "report_stored": (
+        "dim_clients dim_accounts fact_blacklist",
+        """
+        , used AS (
+            SELECT DISTINCT l_shipdate AS event_id, passport_num, passport_valid_to, valid_to,
+            coalesce(last_name,'') || ' ' || coalesce(first_name,'') || ' '
+            || coalesce(patronymic,'') AS fio, phone
+            FROM lineitem
+            JOIN orders ON l_orderkey = o_orderkey
+            JOIN dim_accounts ON o_custkey = account_num
+            JOIN dim_clients ON client = client_id
+            WHERE l_shipdate <= TIMESTAMP '2024-01-15 23:59:59'
+        )
+        SELECT DISTINCT event_id, passport_num AS passport, fio, phone, '1' AS event_type,
+        TIMESTAMP '2024-01-15 23:59:59' AS report_dt
+        FROM used
+        WHERE passport_valid_to < TIMESTAMP '2024-01-15 23:59:59' OR passport_num IN (
+            SELECT passport_num FROM fact_blacklist
+            WHERE entry_dt <= TIMESTAMP '2024-01-15 23:59:59')
+        UNION ALL
+        SELECT DISTINCT event_id, passport_num, fio, phone, '2',
+        TIMESTAMP '2024-01-15 23:59:59'
+        FROM used WHERE valid_to < TIMESTAMP '2024-01-15 23:59:59'
+        """,
+    ),
 }
 
 
@@ -395,7 +518,11 @@ def oracle(name: str) -> str:
     needs, statement = STATEMENTS[name]
     wanted = needs.split()
     parts = [f"{n} AS ({RELATIONS[n].strip()})" for n in RELATIONS if n in wanted]
-    return f"WITH {', '.join(parts)} {statement.strip()}" if parts else statement.strip()
+    statement = statement.strip()
+    if statement.startswith(","):  # further relations of its own
+        parts.append(statement.removeprefix(",").strip())
+        return f"WITH {', '.join(parts)}"
+    return f"WITH {', '.join(parts)} {statement}" if parts else statement
 
 
 ORACLE = {name: oracle(name) for name in STATEMENTS}

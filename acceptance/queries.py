@@ -3,17 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acceptance.relations import REPORT_TS, Sample
+from acceptance.workbooks import workbook_bytes
 from tidemark import operators as op
 from tidemark.functions import change_time, full_name, normalize_keys, parse_amount, parse_dates
-from tidemark.functions.clean import DOTTED_DAY_PATTERN, SECOND_PATTERN
+from tidemark.functions.clean import DAY_PATTERN, DOTTED_DAY_PATTERN, SECOND_PATTERN
+from tidemark.plans import FrameBank, Warehouse, run_report
+from tidemark.plans.load import load_bank_table, load_blacklist, load_terminals
 from tidemark.session import scratch_path
-from tidemark.sources import read_delimited, write_delimited
+from tidemark.sources import (
+    discover_feed,
+    files,
+    read_delimited,
+    stamp_file_date,
+    workbook_rows,
+    write_delimited,
+)
+from tidemark.sources.discovery import FILE_DATE_PATTERN
+from tidemark.streaming import feed_stream
 
 KEY, ATTRS = "k", ["nm", "seg", "nk"]
 DAY_1, DAY_2, RUN_2 = "2021-03-01", "2021-03-02", "2021-03-02 00:45:00"
@@ -33,7 +47,7 @@ def _text_schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _decimal_comma(col: str):
+def _decimal_comma(col: str) -> Column:
     return F.replace(F.col(col).cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
 
@@ -59,6 +73,55 @@ def _src_delimited(s: Sample) -> DataFrame:
     )
 
 
+@query("src_file_date")
+def _src_file_date(s: Sample) -> DataFrame:
+    """Orders in one drop per month, found by name and stamped with the drop's date."""
+    written, feeds = scratch_path(s.spark, "drops"), scratch_path(s.spark, "feeds")
+    month = F.date_format(F.date_trunc("month", "o_orderdate"), FILE_DATE_PATTERN)
+    orders = s.table("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("transactions_"), month, F.lit(".txt")).alias("drop"),
+    )
+    orders.write.partitionBy("drop").options(sep=";", header="true").csv(written)
+    files.make_folder(s.spark, feeds)
+    for name in files.list_names(s.spark, written):
+        if name.startswith("drop="):
+            files.rename(s.spark, f"{written}/{name}", f"{feeds}/{name.removeprefix('drop=')}")
+    paths = [drop.path for drop in discover_feed(s.spark, feeds, "transactions")]
+    staged = read_delimited(s.spark, paths, _text_schema("id"))
+    return stamp_file_date(staged).select(F.col("id").cast("bigint").alias("id"), "file_date")
+
+
+@query("src_workbook")
+def _src_workbook(s: Sample) -> DataFrame:
+    """Customers as workbooks of up to 50,000 rows, with numbers, text and dates."""
+    rows = s.table("customer").select(
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        (F.col("c_custkey") % 800).alias("days"),
+        F.floor(F.col("c_custkey") / 50_000).alias("book"),
+    )
+
+    def write(book: pd.DataFrame) -> pd.DataFrame:
+        header = ["id", "name", "nation", "valid"]
+        sheet = [
+            [int(r.c_custkey), r.c_name, int(r.c_nationkey), datetime(2023, 1, 1) + timedelta(r.days)]
+            for r in book.itertuples()
+        ]
+        content = workbook_bytes({"customers": [header, *sheet]})
+        return pd.DataFrame({"path": [f"book-{book.book.iloc[0]}"], "content": [content]})
+
+    books = rows.groupBy("book").applyInPandas(write, "path string, content binary")
+    schema = _text_schema("id", "name", "nation", "valid")
+    return workbook_rows(books, "customers", schema, dates=("valid",)).select(
+        F.col("id").cast("bigint").alias("id"),
+        "name",
+        F.col("nation").cast("int").alias("nation"),
+        parse_dates(F.col("valid"), DAY_PATTERN).alias("valid_to"),
+    )
+
+
 @query("normalize_keys")
 def _normalize_keys(s: Sample) -> DataFrame:
     padded = s.table("customer").select(F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("key"))
@@ -240,14 +303,14 @@ def _txn_enriched(s: Sample) -> DataFrame:
 def _fraud_passport_blacklisted(s: Sample) -> DataFrame:
     cards, accounts, clients = s.dims()
     subjects = op.blacklisted_subjects(accounts, clients, s.fact_blacklist(), REPORT_TS)
-    return op.fraud_events(s.fact_tx(), cards, subjects, REPORT_TS)
+    return op.fraud_events(s.fact_tx(), op.flagged_cards(cards, subjects, REPORT_TS), REPORT_TS)
 
 
 @query("fraud_passport_expired")
 def _fraud_passport_expired(s: Sample) -> DataFrame:
     cards, accounts, clients = s.dims()
     subjects = op.expired_subjects(accounts, clients, REPORT_TS)
-    return op.fraud_events(s.fact_tx(), cards, subjects, REPORT_TS)
+    return op.fraud_events(s.fact_tx(), op.flagged_cards(cards, subjects, REPORT_TS), REPORT_TS)
 
 
 @query("fraud_report_passport")
@@ -268,3 +331,135 @@ def _fraud_report_contract(s: Sample) -> DataFrame:
 @query("fraud_report_all")
 def _fraud_report_all(s: Sample) -> DataFrame:
     return op.fraud_report_all(s.fact_tx(), *s.dims(), s.fact_blacklist(), REPORT_TS)
+
+
+# Whole loads into a warehouse.
+
+
+def _new_warehouse(s: Sample) -> Warehouse:
+    return Warehouse.bootstrap(s.spark, scratch_path(s.spark, "warehouse"))
+
+
+def _text(col: str) -> Column:
+    return F.col(col).cast("string")
+
+
+def _orders_as_drop(s: Sample) -> str:
+    """All orders as one drop of the transactions feed."""
+    feeds = scratch_path(s.spark, "feeds")
+    drop = s.table("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.date_format("o_orderdate", SECOND_PATTERN).alias("date"),
+        _decimal_comma("o_totalprice").alias("amount"),
+        F.concat(F.lit(" "), _text("o_custkey")).alias("card"),
+        F.col("o_orderpriority").alias("type"),
+        F.col("o_orderstatus").alias("result"),
+        F.lit("T1").alias("terminal"),
+    )
+    write_delimited(drop, f"{feeds}/transactions_15012024.txt")
+    return feeds
+
+
+@query("feed_stream")
+def _feed_stream(s: Sample) -> DataFrame:
+    """Orders as text, streamed into the warehouse; the second start finds nothing new."""
+    feeds, warehouse = _orders_as_drop(s), _new_warehouse(s)
+    for _ in range(2):
+        feed_stream(warehouse, feeds, "transactions").awaitTermination()
+    return warehouse.transactions()
+
+
+@query("terminals_load")
+def _terminals_load(s: Sample) -> DataFrame:
+    """Both customer snapshots loaded as terminals, in two commits."""
+    warehouse = _new_warehouse(s)
+    for snapshot, day in ((s.cust_v1(), DAY_1), (s.cust_v2(), DAY_2)):
+        commit = warehouse.begin()
+        rows = snapshot.select(
+            _text("k").alias("terminal_id"),
+            F.col("seg").alias("terminal_type"),
+            F.col("nm").alias("terminal_city"),
+            _text("nk").alias("terminal_address"),
+        )
+        load_terminals(commit, rows, datetime.fromisoformat(day))
+        commit.publish()
+    return warehouse.history("terminals")
+
+
+@query("cards_load")
+def _cards_load(s: Sample) -> DataFrame:
+    """Orders loaded as cards: all at first, later some updated and some gone."""
+    orders = s.table("orders").select(
+        F.col("o_orderkey").alias("n"),
+        F.concat(F.lit(" "), _text("o_orderkey"), F.lit("  ")).alias("card_num"),
+        _text("o_custkey").alias("account"),
+        F.col("o_orderdate").alias("create_dt"),
+        F.expr("CAST(NULL AS TIMESTAMP_NTZ)").alias("update_dt"),
+    )
+    moved = F.col("n") % 3 == 0
+    later = (
+        orders.where(F.col("n") % 11 != 5)
+        .withColumn("account", F.when(moved, F.lit("moved")).otherwise(F.col("account")))
+        .withColumn("update_dt", F.when(moved, F.expr("TIMESTAMP_NTZ '2010-01-01 08:00:00'")))
+    )
+    warehouse = _new_warehouse(s)
+    for source, run_ts in ((orders, "2009-01-01"), (later, "2010-01-02")):
+        commit = warehouse.begin()
+        newest = load_bank_table(commit, FrameBank({"cards": source}), "cards", run_ts)
+        commit.put_watermarks(op.advance_watermark(warehouse.watermarks(), newest))
+        commit.publish()
+    return warehouse.history("cards")
+
+
+@query("report_stored")
+def _report_stored(s: Sample) -> DataFrame:
+    """The sample as source tables and feeds, loaded, reported and read from the store."""
+    created = [
+        F.expr("TIMESTAMP_NTZ '1990-01-01 00:00:00'").alias("create_dt"),
+        F.expr("CAST(NULL AS TIMESTAMP_NTZ)").alias("update_dt"),
+    ]
+    cards, accounts, clients = s.dims()
+    bank = FrameBank(
+        {
+            "cards": cards.select(
+                _text("card_num").alias("card_num"), _text("account_num").alias("account"), *created
+            ),
+            "accounts": accounts.select(
+                _text("account_num").alias("account"),
+                "valid_to",
+                _text("client").alias("client"),
+                *created,
+            ),
+            "clients": clients.select(
+                _text("client_id").alias("client_id"),
+                "last_name",
+                "first_name",
+                "patronymic",
+                F.col("effective_from").alias("date_of_birth"),
+                "passport_num",
+                "passport_valid_to",
+                "phone",
+                *created,
+            ),
+        }
+    )
+    staged = s.table("lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
+        F.col("l_shipdate").alias("transaction_date"),
+        F.col("l_extendedprice").alias("amount"),
+        _text("l_orderkey").alias("card_num"),
+        F.lit("PAYMENT").alias("oper_type"),
+        F.lit("SUCCESS").alias("oper_result"),
+        F.lit("T1").alias("terminal"),
+    )
+    listed = s.fact_blacklist().select(
+        F.date_format("entry_dt", DAY_PATTERN).alias("entry_dt"), "passport_num"
+    )
+    warehouse = _new_warehouse(s)
+    commit = warehouse.begin()
+    for table in bank.tables:
+        load_bank_table(commit, bank, table, "2020-01-01")
+    load_blacklist(commit, listed)
+    commit.add_transactions(op.fact_transactions(staged))
+    commit.publish()
+    return run_report(warehouse, REPORT_TS)

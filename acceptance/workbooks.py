@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from datetime import datetime
 from xml.sax.saxutils import escape
 
+from pyspark import cloudpickle
+
+# Tasks that write workbooks carry this module with them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -51,7 +57,9 @@ def workbook_bytes(sheets: dict[str, list[list]], shared: bool = False) -> bytes
         data = "".join(lines)
         return f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>{data}</sheetData></worksheet>'
 
-    parts = {f"xl/worksheets/sheet{i}.xml": sheet(rows) for i, rows in enumerate(sheets.values(), 1)}
+    parts = {
+        f"xl/worksheets/sheet{i}.xml": sheet(rows) for i, rows in enumerate(sheets.values(), 1)
+    }
     listed = "".join(
         f'<sheet name="{escape(name)}" sheetId="{i}" r:id="rId{i}"/>'
         for i, name in enumerate(sheets, 1)

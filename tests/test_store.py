@@ -140,11 +140,13 @@ def test_reads_touch_only_the_days_and_parts_in_question(spark, place):
     for day in (D1, D2, D3):
         drop_all(feeds, day, [("T1", "ATM", "c", f"a{day.day}")])
         run_load(warehouse, str(feeds), bank(spark), day, str(archive))
-    plan = warehouse.transactions(D2, D2)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(trans_day" in plan and "trans_day" in plan
+    day = (D2, datetime(2021, 3, 2, 23, 59, 59))
+    plan = warehouse.transactions(*day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(trans_month" in plan
+    assert "GreaterThanOrEqual(trans_date" in plan and "LessThanOrEqual(trans_date" in plan
     opened = warehouse.open_rows("terminals")
     assert all("state=open" in f for f in opened.inputFiles())
-    assert warehouse.transactions(D2, D2).count() == 1
+    assert warehouse.transactions(*day).count() == 1
 
 
 # Streams.

@@ -9,11 +9,13 @@ from tidemark.operators.fraud import (
     contract_subjects,
     enrich_as_of,
     expired_subjects,
+    flagged_cards,
     fraud_contract,
     fraud_events,
     fraud_passport,
     fraud_report_all,
     passport_subjects,
+    report_subjects,
 )
 from tidemark.operators.scd2 import (
     history_of,
@@ -44,6 +46,7 @@ __all__ = [
     "expired_subjects",
     "fact_blacklist",
     "fact_transactions",
+    "flagged_cards",
     "fraud_contract",
     "fraud_events",
     "fraud_passport",
@@ -54,6 +57,7 @@ __all__ = [
     "one_row_per",
     "passport_subjects",
     "read_watermark",
+    "report_subjects",
     "scd2_apply_incremental",
     "scd2_apply_snapshot",
     "scd2_close_versions",

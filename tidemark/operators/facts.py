@@ -67,7 +67,7 @@ def append_fact(
     """The rows to append: all of them, or those not stored yet when ``existing`` is given.
 
     Loading a file a second time then adds nothing, while equal rows inside one load are
-    all kept. The caller hands over only the stored days the load touches. The stored
+    all kept. The caller hands over only the stored time span the load touches. The stored
     keys are not made unique first: both sides of the join are then plain shuffles,
     which AQE can split if one key dominates the load.
     """

@@ -140,16 +140,32 @@ def contract_subjects(accounts: DataFrame, clients: DataFrame, report_ts: Moment
     return _subjects(lapsed, dim_as_of(clients, report_ts), CONTRACT_EVENT)
 
 
-def fraud_events(
-    facts: DataFrame,
-    cards: DataFrame,
-    subjects: DataFrame,
+def report_subjects(
+    accounts: DataFrame,
+    clients: DataFrame,
+    blacklist: DataFrame,
     report_ts: Moment,
-    distinct: bool = True,
+    grace_last_day: bool = False,
 ) -> DataFrame:
-    """Report rows for the transactions made with the subjects' cards."""
-    flagged = dim_as_of(cards, report_ts).select("card_num", "account_num")
-    flagged = flagged.join(subjects, "account_num").drop("account_num")
+    """The subjects of both rules; one account can be a subject of each."""
+    passports = passport_subjects(accounts, clients, blacklist, report_ts, grace_last_day)
+    return passports.unionByName(contract_subjects(accounts, clients, report_ts))
+
+
+def flagged_cards(cards: DataFrame, subjects: DataFrame, report_ts: Moment) -> DataFrame:
+    """The subjects' cards with what the report says about their holders."""
+    valid = dim_as_of(cards, report_ts).select("card_num", "account_num")
+    return valid.join(subjects, "account_num").drop("account_num")
+
+
+def fraud_events(
+    facts: DataFrame, flagged: DataFrame, report_ts: Moment, distinct: bool = True
+) -> DataFrame:
+    """Report rows for the transactions made with flagged cards.
+
+    Hand over ``broadcast(flagged)`` where its size has been checked: the transactions
+    are then not shuffled at all, only the rows found.
+    """
     events = (
         facts.where(F.col("trans_date") <= ntz(report_ts))
         .select("card_num", F.col("trans_date").alias("event_id"))
@@ -173,7 +189,7 @@ def fraud_passport(
 ) -> DataFrame:
     """Rule 1: operations on a blocked or expired passport."""
     subjects = passport_subjects(accounts, clients, blacklist, report_ts, grace_last_day)
-    return fraud_events(facts, cards, subjects, report_ts, distinct)
+    return fraud_events(facts, flagged_cards(cards, subjects, report_ts), report_ts, distinct)
 
 
 def fraud_contract(
@@ -184,7 +200,8 @@ def fraud_contract(
     report_ts: Moment,
 ) -> DataFrame:
     """Rule 2: operations under a lapsed contract."""
-    return fraud_events(facts, cards, contract_subjects(accounts, clients, report_ts), report_ts)
+    subjects = contract_subjects(accounts, clients, report_ts)
+    return fraud_events(facts, flagged_cards(cards, subjects, report_ts), report_ts)
 
 
 def fraud_report_all(
@@ -197,7 +214,5 @@ def fraud_report_all(
     grace_last_day: bool = False,
 ) -> DataFrame:
     """Both rules in one pass over the transactions."""
-    subjects = passport_subjects(
-        accounts, clients, blacklist, report_ts, grace_last_day
-    ).unionByName(contract_subjects(accounts, clients, report_ts))
-    return fraud_events(facts, cards, subjects, report_ts)
+    subjects = report_subjects(accounts, clients, blacklist, report_ts, grace_last_day)
+    return fraud_events(facts, flagged_cards(cards, subjects, report_ts), report_ts)

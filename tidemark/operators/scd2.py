@@ -7,7 +7,7 @@ The one-pass applies return the rows to store next to a ``state`` column:
 
 ``open``      the new open set, replacing the old one
 ``closed``    versions closed by this run, to be appended to the closed ones
-``rejected``  input that cannot be applied: it has no key, or is older than what is stored
+``rejected``  input that cannot be applied: it has no key or time, or is older than what is stored
 """
 
 from __future__ import annotations
@@ -89,10 +89,12 @@ def _version(
     )
 
 
-def _keyless(rows: DataFrame, key: str, attrs: list[str], start: Column) -> DataFrame:
-    """Input rows without a key, as rejected rows; no version could ever match them."""
+def _unusable(
+    rows: DataFrame, test: Column, key: str, attrs: list[str], start: Column
+) -> DataFrame:
+    """Input rows that can be no version, for want of a key or a time, as rejected rows."""
     rejected = _version("", attrs, start, high(), F.lit(LIVE), REJECTED).alias("_row")
-    return rows.where(F.col(key).isNull()).select(key, rejected).select(key, "_row.*")
+    return rows.where(test).select(key, rejected).select(key, "_row.*")
 
 
 def scd2_apply_snapshot(
@@ -144,7 +146,7 @@ def scd2_apply_snapshot(
     applied = joined.select(
         F.coalesce(F.col(f"o.{key}"), F.col(f"s.{key}")).alias(key), F.explode(rows).alias("_row")
     ).select(key, "_row.*")
-    return applied.unionByName(_keyless(snap, key, attrs, eff))
+    return applied.unionByName(_unusable(snap, F.col(key).isNull(), key, attrs, eff))
 
 
 def scd2_apply_incremental(
@@ -167,10 +169,9 @@ def scd2_apply_incremental(
     Wide rows are shuffled once, by (key, month); see ``chain`` for why no key is hot.
     """
     run = ntz(run_ts)
+    unusable = F.col(key).isNull() | F.col(change_ts).isNull()
     arriving = one_row_per(
-        changes.where(F.col(key).isNotNull()).select(
-            key, *attrs, F.col(change_ts).alias("effective_from")
-        ),
+        changes.where(~unusable).select(key, *attrs, F.col(change_ts).alias("effective_from")),
         [key, "effective_from"],
         attrs,
     ).select(
@@ -242,7 +243,7 @@ def scd2_apply_incremental(
     applied = (
         chained.where(~copy).select(key, F.explode(result).alias("_row")).select(key, "_row.*")
     )
-    return applied.unionByName(_keyless(changes, key, attrs, F.col(change_ts)))
+    return applied.unionByName(_unusable(changes, unusable, key, attrs, F.col(change_ts)))
 
 
 def history_of(applied: DataFrame, closed: DataFrame | None = None) -> DataFrame:

@@ -1,7 +1,7 @@
 """The warehouse, its nightly load and its report."""
 
 from tidemark.plans.load import Bank, FrameBank, JdbcBank, run_backlog, run_load
-from tidemark.plans.report import build_report, run_report
+from tidemark.plans.report import run_report
 from tidemark.plans.store import Commit, ConcurrentLoadError, Warehouse
 
 __all__ = [
@@ -11,7 +11,6 @@ __all__ = [
     "FrameBank",
     "JdbcBank",
     "Warehouse",
-    "build_report",
     "run_backlog",
     "run_load",
     "run_report",

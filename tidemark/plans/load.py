@@ -90,8 +90,8 @@ def load_transactions(
 ) -> Newest:
     """Append a drop of transactions.
 
-    ``read(**options)`` reads the drop. It is read twice: for the days it holds, where
-    only the date is parsed, and for the rows. The days bound the stored part that must
+    ``read(**options)`` reads the drop. It is read twice: for the times it spans, where
+    only the date is parsed, and for the rows. The span bounds the stored part that must
     be looked through for rows loaded before.
     """
     times = fact_transactions(read(columnPruning="true")).select("trans_date")

@@ -29,7 +29,7 @@ from tidemark.operators.watermark import seed_watermarks
 from tidemark.sources import files
 
 FACTS = {"transactions": schemas.FACT_TRANSACTIONS, "blacklist": schemas.FACT_BLACKLIST}
-DAY = "trans_day"
+MONTH = "trans_month"
 
 
 class ConcurrentLoadError(Exception):
@@ -123,21 +123,28 @@ class Warehouse:
         return self.history(name, OPEN)
 
     def rejected_rows(self, name: str) -> DataFrame:
-        """Input set aside because it has no key or is older than what is stored."""
+        """Input set aside because it has no key or time, or is older than what is stored."""
         return self.history(name, REJECTED)
 
     def transactions(self, first: Moment | None = None, last: Moment | None = None) -> DataFrame:
-        """Transactions; with ``first`` or ``last`` only those of the day folders in
-        question, and the undated ones."""
-        day = T.StructType([T.StructField(DAY, T.DateType())])
+        """Transactions; with ``first`` and ``last`` those in between and the undated ones.
+
+        Whole months are skipped as folders. Inside a month the files of one load hold
+        few days, so most are skipped by the range of their ``trans_date``.
+        """
+        month = T.StructType([T.StructField(MONTH, T.DateType())])
         parts = self.manifest()["tables"]["transactions"]["parts"]
-        rows = self._read("transactions", parts, FACTS["transactions"], day)
-        undated = F.col(DAY).isNull()
+        rows = self._read("transactions", parts, FACTS["transactions"], month)
+        in_month, at = F.col(MONTH), F.col("trans_date")
         if first is not None:
-            rows = rows.where(undated | (F.col(DAY) >= F.lit(as_datetime(first).date())))
+            earliest = as_datetime(first).date().replace(day=1)
+            rows = rows.where(in_month.isNull() | (in_month >= F.lit(earliest)))
+            rows = rows.where(at.isNull() | (at >= ntz(first)))
         if last is not None:
-            rows = rows.where(undated | (F.col(DAY) <= F.lit(as_datetime(last).date())))
-        return rows.drop(DAY)
+            latest = as_datetime(last).date().replace(day=1)
+            rows = rows.where(in_month.isNull() | (in_month <= F.lit(latest)))
+            rows = rows.where(at.isNull() | (at <= ntz(last)))
+        return rows.drop(MONTH)
 
     def blacklist(self) -> DataFrame:
         parts = self.manifest()["tables"]["blacklist"]["parts"]
@@ -231,8 +238,8 @@ class Commit:
 
     def add_transactions(self, rows: DataFrame) -> None:
         rows = rows.select(*FACTS["transactions"].fieldNames())
-        dated = rows.withColumn(DAY, F.to_date("trans_date"))
-        self._add_part("transactions", self._write("transactions", dated, DAY))
+        dated = rows.withColumn(MONTH, F.trunc("trans_date", "month"))
+        self._add_part("transactions", self._write("transactions", dated, MONTH))
 
     def add_blacklist(self, rows: DataFrame) -> None:
         self._add_part(

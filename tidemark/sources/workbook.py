@@ -9,17 +9,22 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 BATCH_ROWS = 10_000
 
+# The parser travels with its tasks, so the package need not be installed on executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class WorkbookError(Exception):
     """The workbook lacks the sheet, or its rows do not fit the schema."""

@@ -42,14 +42,16 @@ def feed_source(
 ) -> DataFrame:
     """The feed as a streaming DataFrame; read files may be moved to ``archive``.
 
-    Spark moves a file only after a later batch has committed.
+    A drop may be a file or a folder of part files under the drop's name. Spark moves a
+    file only after a later batch has committed.
     """
-    reader = spark.readStream.option("pathGlobFilter", GLOBS[feed])
+    drops = f"{folder.rstrip('/')}/{GLOBS[feed]}"
+    reader = spark.readStream
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if feed == "transactions":
-        return reader.options(**FEED_OPTIONS).schema(schemas.STG_TRANSACTIONS).csv(folder)
-    return reader.format("binaryFile").schema(BINARY_FILE).load(folder)
+        return reader.options(**FEED_OPTIONS).schema(schemas.STG_TRANSACTIONS).csv(drops)
+    return reader.format("binaryFile").schema(BINARY_FILE).load(drops)
 
 
 def _publish(commit: Commit, newest: Newest, feed: str | None, batch_id: int) -> None:
