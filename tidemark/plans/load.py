@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -181,12 +183,18 @@ def run_load(
         path = drops["transactions"].path
         return read_delimited(spark, path, schemas.STG_TRANSACTIONS, **options)
 
-    newest |= load_transactions(commit, transactions, skip_stored)
-    newest |= load_blacklist(commit, read_blacklist(spark, drops["blacklist"].path))
-    terminals = drops["terminals"]
-    newest |= load_terminals(commit, read_terminals(spark, terminals.path), terminals.date)
-    for table in STG_BANK:
-        newest |= load_bank_table(commit, bank, table, run_ts)
+    listed = read_blacklist(spark, drops["blacklist"].path)
+    terminals = read_terminals(spark, drops["terminals"].path)
+    steps: list[Callable[[], Newest]] = [
+        lambda: load_transactions(commit, transactions, skip_stored),
+        lambda: load_blacklist(commit, listed),
+        lambda: load_terminals(commit, terminals, drops["terminals"].date),
+        *[partial(load_bank_table, commit, bank, table, run_ts) for table in STG_BANK],
+    ]
+    # The tables do not depend on each other, so small ones fill what large ones leave idle.
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            newest |= done.result()
     commit.put_watermarks(advance_watermark(warehouse.watermarks(), newest))
     commit.publish()
 
