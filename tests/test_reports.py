@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
-from tidemark.functions import to_second
+from tidemark.functions import ntz, parse_dates, to_second
+from tidemark.functions.clean import SECOND_PATTERN
 from tidemark.schemas import HIGH
 
 T0 = datetime(2020, 1, 1)
@@ -99,5 +100,28 @@ def test_fraction_of_a_second_falls_into_no_gap(spark):
         [(1, T0, END, "N"), (2, datetime(2021, 3, 2), HIGH, "N")], "k int" + SPAN
     )
     assert [r.k for r in op.dim_as_of(history, moment).collect()] == [1]
-    cut = spark.createDataFrame([(moment,)], "t timestamp_ntz").select(to_second(F.col("t")))
-    assert cut.first()[0] == END
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """02:30 on 28 March 2021 does not exist in Berlin, but is a valid zone-free time."""
+    moments = [
+        (datetime(2021, 3, 1, 23, 59, 59, 500_000), END),
+        (datetime(2021, 3, 28, 2, 30, 0, 999_999), datetime(2021, 3, 28, 2, 30)),
+        (datetime(1899, 1, 1, 0, 0, 0, 250_000), datetime(1899, 1, 1)),
+        (None, None),
+    ]
+    df = spark.createDataFrame(moments, "t timestamp_ntz, wanted timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = df.select(to_second(F.col("t")).alias("cut"), "wanted").collect()
+        parsed = spark.sql("SELECT '2021-03-28 02:30:00' AS t").select(
+            parse_dates(F.col("t"), SECOND_PATTERN)
+        )
+        assert parsed.first()[0] == moments[1][1]
+        literal = spark.range(1).select(ntz(moments[1][0]))
+        assert literal.first()[0] == moments[1][1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.cut for r in rows] == [r.wanted for r in rows]

@@ -34,8 +34,10 @@ def ntz(value: Moment) -> Column:
 
 def to_second(col: Column) -> Column:
     """Cut to the second: validity intervals leave a one-second gap between versions,
-    so a fraction of a second would fall between two of them."""
-    return F.date_trunc("second", col).cast("timestamp_ntz")
+    so a fraction of a second would fall between two of them. Only the fraction passes
+    through the session's zone, which cannot change it."""
+    fraction = F.date_part(F.lit("SECONDS"), col) % 1
+    return ntz(col) - F.make_dt_interval(secs=fraction)
 
 
 def before(col: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -25,6 +26,8 @@ from tidemark.sources.discovery import FEED_NAMES, Drop, discover_feed, file_dat
 from tidemark.sources.jdbc import JdbcSource, jdbc_incremental, jdbc_table
 from tidemark.sources.workbook import read_workbook
 
+log = logging.getLogger(__name__)
+
 Newest = dict[str, tuple[DataFrame, Column]]
 
 STG_BANK = {
@@ -118,7 +121,9 @@ def load_terminals(commit: Commit, staged: DataFrame, eff_ts: Moment) -> Newest:
     terminals that came later.
     """
     spec = schemas.TERMINALS
-    if eff_ts < commit.warehouse.watermark("terminals"):
+    loaded = commit.warehouse.watermark("terminals")
+    if eff_ts < loaded:
+        log.warning("terminals of %s not applied: those of %s are loaded", eff_ts, loaded)
         return {}
     cleaned = normalize_keys(staged.select(spec.key, *spec.attrs), spec.key)
     snap = commit.stage("terminals", cleaned)

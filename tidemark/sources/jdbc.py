@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.times import Moment
 from tidemark.operators.watermark import incremental
@@ -44,8 +45,10 @@ class JdbcSource:
 def jdbc_table(
     spark: SparkSession, source: JdbcSource, table: str, columns: list[str]
 ) -> DataFrame:
-    """Chosen columns of a source table; only they are fetched."""
-    return spark.read.format("jdbc").options(**source.options(table)).load().select(*columns)
+    """Chosen columns of a source table, under the given names whatever case the
+    database reports; only they are fetched."""
+    loaded = spark.read.format("jdbc").options(**source.options(table)).load()
+    return loaded.select(*[F.col(c).alias(c) for c in columns])
 
 
 def jdbc_incremental(
