@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidemark import operators as op
+from tidemark.operators import chain
 from tidemark.plans import Warehouse, report
 from tidemark.schemas import HIGH
 
@@ -65,8 +66,9 @@ def test_no_cross_join_and_no_unbounded_window(shuffled, name):
     plan = physical(contract.queries()[name](shuffled, FOLDER))
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     for window in re.findall(r"Window \[.*", plan):
-        # Either the rows of a (key, month), or the month summary of a key.
-        assert "_month" in window or "_head" in window or "_open_from" in window, window
+        # The rows of a divided key, the links of a hot key, or the keys that are not hot.
+        divided = "_bucket" in window or "_head" in window or "_open_from" in window
+        assert divided or name == "dim_first_seen", window
 
 
 @pytest.mark.parametrize("name", ["snapshot_new", "snapshot_deleted"])
@@ -162,16 +164,48 @@ def test_stored_key_that_dominates_a_load_is_split(shuffled):
     assert fresh.count() == rows.count() - stored.count()
 
 
-def test_chain_of_a_dominating_key_matches_one_window(spark):
-    """A key with a third of all rows, chained by month, against the plain window."""
-    rows = spark.range(0, 60_000, 1, 8).select(
+def hot_rows(spark, rows):
+    """Unique times, a third of them of key 0."""
+    return spark.range(0, rows, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
         (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id"))).alias("at"),
     )
-    plain = rows.withColumn("n", F.lead("at").over(Window.partitionBy("k").orderBy("at")))
-    chained = op.with_successor(rows, "k", "at", "n")
-    assert chained.count() == 60_000
-    assert chained.exceptAll(plain).isEmpty() and plain.exceptAll(chained).isEmpty()
+
+
+def same_rows(one, other):
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+@pytest.mark.parametrize("hot_from", [1_000, 1_000_000])
+def test_chain_of_a_dominating_key_matches_one_window(spark, monkeypatch, hot_from):
+    """A key with a third of all rows, divided or not, against the plain window."""
+    monkeypatch.setattr(chain, "HOT_ROWS", hot_from)
+    rows = hot_rows(spark, 60_000)
+    hot = chain.hot_keys(rows, "k").collect()
+    assert [r.k for r in hot] == ([0] if hot_from == 1_000 else [])
+    by_time = Window.partitionBy("k").orderBy("at")
+    chained = chain.with_successor(rows, "k", "at", "n")
+    assert same_rows(chained, rows.withColumn("n", F.lead("at").over(by_time)))
+    first = chain.with_first(rows, "k", "at", "n")
+    assert same_rows(first, rows.withColumn("n", F.min("at").over(by_time)))
+
+
+def test_hot_keys_are_bounded_in_number(spark, monkeypatch):
+    """However small the keys, no more than the limit can be hot."""
+    monkeypatch.setattr(chain, "HOT_ROWS", 0)
+    monkeypatch.setattr(chain, "MAX_HOT_KEYS", 50)
+    even = spark.range(10_000).select((F.col("id") % 50).alias("k"))
+    assert chain.hot_keys(even, "k").count() == 0
+    uneven = even.unionByName(spark.range(7).select(F.col("id").alias("k")))
+    assert chain.hot_keys(uneven, "k").count() == 7
+
+
+def test_rows_are_shuffled_once_when_no_key_is_hot(shuffled):
+    """The parts that deal with hot keys are gone from the plan that ran."""
+    plan = final_plan(chain.with_successor(hot_rows(shuffled, 60_000), "k", "at"))
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "AS _next_head" in final and "cast(null" in final and "SortMergeJoin" not in final
+    assert final.count("Exchange hashpartitioning(k") == 1
 
 
 def test_copies_collapse_before_the_shuffle(shuffled):

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark import operators as op
+from tidemark.operators import chain
 from tidemark.operators.scd2 import STATE
 from tidemark.schemas import HIGH
 
@@ -17,6 +18,14 @@ CHANGES = "k string, a string, b string, at timestamp_ntz"
 SECOND = timedelta(seconds=1)
 
 
+@pytest.fixture(params=["few rows per key", "every repeated key hot"])
+def hotness(request, monkeypatch):
+    """Run a test as it is, and once more with repeated keys divided by month."""
+    if request.param == "every repeated key hot":
+        monkeypatch.setattr(chain, "HOT_ROWS", 1)
+        monkeypatch.setattr(chain, "MAX_HOT_KEYS", 1_000_000)
+
+
 def day(n, **extra):
     return T0 + timedelta(days=n, **extra)
 
@@ -136,7 +145,7 @@ def test_older_snapshot_is_rejected_not_lost(spark):
     )
 
 
-def test_several_changes_of_a_key_follow_each_other(spark):
+def test_several_changes_of_a_key_follow_each_other(spark, hotness):
     changes = [
         ("x", "3", "1", day(40)),
         ("x", "2", "1", day(1)),
@@ -158,7 +167,7 @@ def test_several_changes_of_a_key_follow_each_other(spark):
     )
 
 
-def test_redelivered_change_is_ignored_and_conflicting_one_rejected(spark):
+def test_redelivered_change_is_ignored_and_conflicting_one_rejected(spark, hotness):
     got = incremental(
         spark,
         [("x", "1", "1", day(3), "N"), ("y", "1", "1", day(3), "N")],
@@ -174,7 +183,7 @@ def test_redelivered_change_is_ignored_and_conflicting_one_rejected(spark):
     ]
 
 
-def test_close_versions_takes_the_earliest_later_start(spark):
+def test_close_versions_takes_the_earliest_later_start(spark, hotness):
     closed = op.scd2_close_versions(
         opened(spark, ("x", "1", "1", day(3), "N"), ("y", "1", "1", day(3), "N")),
         spark.createDataFrame(
@@ -200,7 +209,7 @@ def test_new_means_no_version_of_any_age(spark):
     assert [r.k for r in op.snapshot_new(snap, history, "k").collect()] == ["z"]
 
 
-def test_first_seen_spans_closed_versions(spark):
+def test_first_seen_spans_closed_versions(spark, hotness):
     history = spark.createDataFrame(
         [("x", day(n)) for n in (0, 1, 45, 400)] + [("y", day(7))],
         "k string, effective_from timestamp_ntz",
@@ -209,7 +218,7 @@ def test_first_seen_spans_closed_versions(spark):
     assert got == {**{("x", day(n)): day(0) for n in (0, 1, 45, 400)}, ("y", day(7)): day(7)}
 
 
-def test_validate_history_counts_each_rule(spark):
+def test_validate_history_counts_each_rule(spark, hotness):
     rows = [
         ("twice", day(0), HIGH), ("twice", day(1), HIGH),  # two open, and the first overlaps
         ("none", day(0), day(1)),  # none open
@@ -257,7 +266,7 @@ def replay(changes, runs):
         max_size=3,
     )
 )
-def test_incremental_matches_bookkeeping(spark, loads):
+def test_incremental_matches_bookkeeping(spark, hotness, loads):
     """Several nightly applies over changing keys; a third of the changes hit one key."""
     runs = []
     for n, (changed, live) in enumerate(loads):

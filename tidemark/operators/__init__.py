@@ -1,6 +1,6 @@
 """The warehouse operators, each a function from DataFrames to a DataFrame."""
 
-from tidemark.operators.chain import month_summary, one_row_per, with_successor
+from tidemark.operators.chain import hot_keys, one_row_per, with_first, with_successor
 from tidemark.operators.diff import snapshot_changed, snapshot_deleted, snapshot_new
 from tidemark.operators.dims import dim_as_of, dim_current, dim_first_seen, validate_history
 from tidemark.operators.facts import append_fact, fact_blacklist, fact_transactions
@@ -52,8 +52,8 @@ __all__ = [
     "fraud_passport",
     "fraud_report_all",
     "history_of",
+    "hot_keys",
     "incremental",
-    "month_summary",
     "one_row_per",
     "passport_subjects",
     "read_watermark",
@@ -68,5 +68,6 @@ __all__ = [
     "snapshot_deleted",
     "snapshot_new",
     "validate_history",
+    "with_first",
     "with_successor",
 ]

@@ -1,10 +1,13 @@
 """Per-key time chains that stay splittable when one key owns much of the data.
 
 A plain ``lead(start) OVER (PARTITION BY key ORDER BY start)`` sends every row of a key
-to one task. Here the rows are chained inside (key, calendar month) first. Times are
+to one task. That is fine, and cheapest, for all but a few keys. So the keys are counted
+first, and only the rows of *hot* keys are divided further, by calendar month. Times are
 whole seconds, so a month of one key holds at most 31 * 86,400 distinct starts, however
-large the key is. One narrow row per (key, month) then links the months of a key: at
-most 12 * 1,100 rows between the seed date and the high date.
+large the key is. One narrow row per (hot key, month) then links the months.
+
+There are at most ``MAX_HOT_KEYS`` hot keys, by the way they are chosen, so they can be
+broadcast. Without any, AQE drops the parts of the plan that deal with them.
 """
 
 from __future__ import annotations
@@ -12,42 +15,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MONTH = "_month"
+BUCKET = "_bucket"
+HOT = "_hot"
+
+# A key is hot when it has more rows than this, and than this share of all rows.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(rows: DataFrame, key: str, **kept: Column) -> DataFrame:
+    """The hot keys of ``rows`` with the ``kept`` aggregates, at most ``MAX_HOT_KEYS`` rows."""
+    counts = rows.groupBy(key).agg(
+        F.count("*").alias("_n"), *[agg.alias(name) for name, agg in kept.items()]
+    )
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.where(
+        F.col(key).isNotNull() & (F.col("_n") > F.greatest(F.lit(HOT_ROWS), total / MAX_HOT_KEYS))
+    ).select(key, *kept)
 
 
 def month_number(start: str) -> Column:
-    """Months since year 0: rises with ``start`` in every session time zone."""
-    return F.year(start) * 12 + F.month(start)
+    """Months since year 0, the same in every session time zone; -1 without a time."""
+    return F.coalesce(F.year(start) * 12 + F.month(start), F.lit(-1))
+
 
+def bucketed(rows: DataFrame, key: str, start: str, counted: DataFrame | None = None) -> DataFrame:
+    """Add ``_hot`` (true or NULL) and ``_bucket``: the month for hot keys, 0 for others.
 
-def month_summary(rows: DataFrame, key: str, start: str, **extra: Column) -> DataFrame:
-    """One row per (key, month): the first start in it, that of the key's next month,
-    and the ``extra`` aggregates. Pre-aggregated before its shuffle."""
-    by_month = Window.partitionBy(key).orderBy(MONTH)
-    aggregates = [agg.alias(name) for name, agg in extra.items()]
+    ``counted`` are the rows to count keys in, if only a part of ``rows`` can repeat one.
+    """
+    hot = hot_keys(rows if counted is None else counted, key).withColumn(HOT, F.lit(True))
+    return rows.join(F.broadcast(hot), key, "left").withColumn(
+        BUCKET, F.when(F.col(HOT), month_number(start)).otherwise(F.lit(0))
+    )
+
+
+def month_links(divided: DataFrame, key: str, start: str, **extra: Column) -> DataFrame:
+    """One row per (hot key, month): ``_next_head``, the first start in the key's next
+    month that has one, and the ``extra`` aggregates. Pre-aggregated before its shuffle."""
+    by_month = Window.partitionBy(key).orderBy(BUCKET)
     return (
-        rows.groupBy(key, month_number(start).alias(MONTH))
-        .agg(F.min(start).alias("_head"), *aggregates)
+        divided.where(F.col(HOT))
+        .groupBy(key, BUCKET)
+        .agg(F.min(start).alias("_head"), *[agg.alias(name) for name, agg in extra.items()])
         .withColumn("_next_head", F.lead("_head").over(by_month))
+        .drop("_head")
     )
 
 
-def with_successor(rows: DataFrame, key: str, start: str, out: str = "next_from") -> DataFrame:
+def with_successor(
+    rows: DataFrame,
+    key: str,
+    start: str,
+    out: str = "next_from",
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Add the start of the key's next row, NULL on its last one.
 
     ``(key, start)`` must be unique; ``one_row_per`` makes it so.
     """
-    inside = Window.partitionBy(key, MONTH).orderBy(start)
-    heads = month_summary(rows, key, start).select(key, MONTH, "_next_head")
+    divided = bucketed(rows, key, start, counted)
+    inside = Window.partitionBy(key, BUCKET).orderBy(start)
     return (
-        rows.withColumn(MONTH, month_number(start))
-        .withColumn(out, F.lead(start).over(inside))
-        .join(heads, [key, MONTH], "left")
+        divided.withColumn(out, F.lead(start).over(inside))
+        .join(month_links(divided, key, start), [key, BUCKET], "left")
         .withColumn(out, F.coalesce(out, "_next_head"))
         .select(*rows.columns, out)
     )
 
 
+def with_first(rows: DataFrame, key: str, start: str, out: str) -> DataFrame:
+    """Add the smallest ``start`` of the key. Rows of hot keys are not grouped at all."""
+    hot = F.broadcast(hot_keys(rows, key, **{out: F.min(start)}))
+    others = rows.join(hot, key, "left_anti").withColumn(
+        out, F.min(start).over(Window.partitionBy(key))
+    )
+    return rows.join(hot, key).select(*rows.columns, out).unionByName(others)
+
+
 def one_row_per(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """One row per key, repeatably: of conflicting copies the largest ``values`` wins.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Moment, before, high, ntz
-from tidemark.operators.chain import MONTH, month_number, month_summary, with_successor
+from tidemark.operators.chain import with_first, with_successor
 from tidemark.schemas import LIVE
 
 
@@ -39,17 +39,9 @@ def dim_first_seen(
     """Add when each key was first seen: the running minimum of ``start``.
 
     Taken over all versions of the key. In start order the running minimum is the
-    minimum itself, so it is aggregated per (key, month), then per key, and joined back
-    by (key, month): no task holds all versions of a large key.
+    minimum itself.
     """
-    firsts = month_summary(history, key, start).select(
-        key, MONTH, F.min("_head").over(Window.partitionBy(key)).alias(out)
-    )
-    return (
-        history.withColumn(MONTH, month_number(start))
-        .join(firsts, [key, MONTH], "left")
-        .select(*history.columns, out)
-    )
+    return with_first(history, key, start, out)
 
 
 def validate_history(history: DataFrame, key: str) -> DataFrame:

@@ -16,7 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Moment, before, high, ntz
-from tidemark.operators.chain import MONTH, month_number, month_summary, one_row_per, with_successor
+from tidemark.operators.chain import (
+    BUCKET,
+    bucketed,
+    month_links,
+    one_row_per,
+    with_successor,
+)
 from tidemark.operators.diff import differs, snapshot_deleted
 from tidemark.schemas import DELETED, LIVE
 
@@ -53,6 +59,7 @@ def scd2_close_versions(
         open_rows.withColumn("_existing", F.lit(True)).unionByName(marks, allowMissingColumns=True),
         key,
         "effective_from",
+        counted=marks,
     )
     return chain.where(F.col("_existing") & F.col("next_from").isNotNull()).select(
         key,
@@ -166,64 +173,78 @@ def scd2_apply_incremental(
     ``live_keys``, the full key list of the source, keys no longer in it are closed at
     ``run_ts`` and get a tombstone.
 
-    Wide rows are shuffled once, by (key, month); see ``chain`` for why no key is hot.
+    Open versions, changes and live keys meet in one shuffle by key, in which the rows
+    of hot keys are divided by month; see ``chain``.
     """
     run = ntz(run_ts)
     unusable = F.col(key).isNull() | F.col(change_ts).isNull()
-    arriving = one_row_per(
-        changes.where(~unusable).select(key, *attrs, F.col(change_ts).alias("effective_from")),
-        [key, "effective_from"],
-        attrs,
-    ).select(
+    usable = changes.where(~unusable).select(
+        key, *attrs, F.col(change_ts).alias("effective_from")
+    )
+    arriving = one_row_per(usable, [key, "effective_from"], attrs).select(
         key,
         *attrs,
         "effective_from",
         F.lit(LIVE).alias("deleted_flg"),
         F.lit(False).alias("_existing"),
     )
-    rows = arriving.unionByName(
-        open_rows.select(
-            key, *attrs, "effective_from", "deleted_flg", F.lit(True).alias("_existing")
-        )
+    stored = open_rows.select(
+        key, *attrs, "effective_from", "deleted_flg", F.lit(True).alias("_existing")
     )
+    rows = stored.unionByName(arriving).withColumn("_live", F.lit(live_keys is None))
+    if live_keys is not None:
+        # The live keys travel in the same shuffle, as rows without a time.
+        present = live_keys.select(key).where(F.col(key).isNotNull()).distinct()
+        rows = rows.unionByName(
+            present.withColumn("_live", F.lit(True)), allowMissingColumns=True
+        )
 
-    months = month_summary(
-        rows,
+    # Only changes can repeat a key.
+    divided = bucketed(rows, key, "effective_from", counted=usable)
+    existing_from = F.when(F.col("_existing"), F.col("effective_from"))
+    of_key = Window.partitionBy(key)
+    links = month_links(
+        divided,
         key,
         "effective_from",
-        _open_from=F.max(F.when(F.col("_existing"), F.col("effective_from"))),
-    ).withColumn("_open_from", F.max("_open_from").over(Window.partitionBy(key)))
-    if live_keys is None:
-        months = months.withColumn("_live", F.lit(True))
-    else:
-        live = live_keys.select(key).distinct().withColumn("_live", F.lit(True))
-        months = months.join(live, key, "left")
-    months = months.select(key, MONTH, "_next_head", "_open_from", "_live")
+        _open_from=F.max(existing_from),
+        _live=F.max("_live"),
+    ).select(
+        key,
+        BUCKET,
+        "_next_head",
+        F.max("_open_from").over(of_key).alias("_hot_open_from"),
+        F.max("_live").over(of_key).alias("_hot_live"),
+    )
 
     # An open version and a change may share a start; the version sorts first.
-    inside = Window.partitionBy(key, MONTH).orderBy("effective_from", F.desc("_existing"))
+    inside = Window.partitionBy(key, BUCKET).orderBy("effective_from", F.desc("_existing"))
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     body = F.struct(*attrs)
     ahead = F.lead("effective_from", 1).over(inside)
     chained = (
-        rows.withColumn(MONTH, month_number("effective_from"))
-        .withColumns(
+        divided.withColumns(
             {
                 "_next": F.when(
                     ahead == F.col("effective_from"), F.lead("effective_from", 2).over(inside)
                 ).otherwise(ahead),
                 "_copy": (F.lag("effective_from").over(inside) == F.col("effective_from"))
                 & F.lag(body).over(inside).eqNullSafe(body)
-                & F.lag(F.col("deleted_flg")).over(inside).eqNullSafe(F.lit(LIVE)),
+                & F.lag("deleted_flg").over(inside).eqNullSafe(F.lit(LIVE)),
+                "_open_from": F.max(existing_from).over(whole),
+                "_any_live": F.max("_live").over(whole),
             }
         )
-        .join(months, [key, MONTH], "left")
+        .where(F.col("_existing").isNotNull())
+        .join(links, [key, BUCKET], "left")
     )
 
     start, flag = F.col("effective_from"), F.col("deleted_flg")
-    late = ~F.col("_existing") & F.coalesce(start <= F.col("_open_from"), F.lit(False))
+    open_from = F.coalesce("_hot_open_from", "_open_from")
+    late = ~F.col("_existing") & F.coalesce(start <= open_from, F.lit(False))
     copy = late & F.coalesce(F.col("_copy"), F.lit(False))
     successor = F.coalesce(F.col("_next"), F.col("_next_head"))
-    gone = (flag == LIVE) & F.col("_live").isNull() & (start < run)
+    gone = (flag == LIVE) & ~F.coalesce("_hot_live", "_any_live") & (start < run)
 
     result = (
         F.when(late, F.array(_version("", attrs, start, high(), flag, REJECTED)))
