@@ -1,13 +1,13 @@
 """Per-key time chains that stay splittable when one key owns much of the data.
 
 A plain ``lead(start) OVER (PARTITION BY key ORDER BY start)`` sends every row of a key
-to one task. That is fine, and cheapest, for all but a few keys. So the keys are counted
-first, and only the rows of *hot* keys are divided further, by calendar month. Times are
+to one task. That is fine, and cheapest, for all but a few keys. So the rows are counted
+first, and only those of *hot* keys are divided further, by calendar month. Times are
 whole seconds, so a month of one key holds at most 31 * 86,400 distinct starts, however
 large the key is. One narrow row per (hot key, month) then links the months.
 
-There are at most ``MAX_HOT_KEYS`` hot keys, by the way they are chosen, so they can be
-broadcast. Without any, AQE drops the parts of the plan that deal with them.
+The count runs when the operator is called. For stored rows it reads file footers only,
+and up to ``HOT_ROWS`` rows, as on most nights, it is all there is: no key can be hot.
 """
 
 from __future__ import annotations
@@ -16,38 +16,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
-HOT = "_hot"
 
-# A key is hot when it has more rows than this, and than this share of all rows.
+# A key is hot when it has more rows than this, and than this share of all rows. So
+# there are fewer than MAX_HOT_KEYS hot keys, whatever the data.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(rows: DataFrame, key: str, **kept: Column) -> DataFrame:
-    """The hot keys of ``rows`` with the ``kept`` aggregates, at most ``MAX_HOT_KEYS`` rows."""
-    counts = rows.groupBy(key).agg(
-        F.count("*").alias("_n"), *[agg.alias(name) for name, agg in kept.items()]
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(
-        F.col(key).isNotNull() & (F.col("_n") > F.greatest(F.lit(HOT_ROWS), total / MAX_HOT_KEYS))
-    ).select(key, *kept)
-
+def hot_keys(rows: DataFrame, key: str) -> DataFrame | None:
+    """The hot keys of ``rows``, small enough to broadcast, or None if no key is hot."""
+    total = rows.count()
+    if total <= HOT_ROWS:
+        return None
+    limit = max(HOT_ROWS, total / MAX_HOT_KEYS)
+    found = rows.groupBy(key).count().where(F.col(key).isNotNull() & (F.col("count") > limit))
+    hot = found.select(key).collect()
+    return F.broadcast(rows.sparkSession.createDataFrame(hot, found.schema[:1])) if hot else None
 
-def month_number(start: str) -> Column:
-    """Months since year 0, the same in every session time zone; -1 without a time."""
-    return F.coalesce(F.year(start) * 12 + F.month(start), F.lit(-1))
 
-
-def bucketed(rows: DataFrame, key: str, start: str, counted: DataFrame | None = None) -> DataFrame:
-    """Add ``_hot`` (true or NULL) and ``_bucket``: the month for hot keys, 0 for others.
-
-    ``counted`` are the rows to count keys in, if only a part of ``rows`` can repeat one.
-    """
-    hot = hot_keys(rows if counted is None else counted, key).withColumn(HOT, F.lit(True))
-    return rows.join(F.broadcast(hot), key, "left").withColumn(
-        BUCKET, F.when(F.col(HOT), month_number(start)).otherwise(F.lit(0))
-    )
+def bucketed(rows: DataFrame, hot: DataFrame, key: str, start: str) -> DataFrame:
+    """Add ``_bucket``: months since year 0 for hot keys, -1 without a time; 0 for others."""
+    month = F.coalesce(F.year(start) * 12 + F.month(start), F.lit(-1))
+    marked = rows.join(hot.withColumn("_hot", F.lit(True)), key, "left")
+    return marked.withColumn(BUCKET, F.when(F.col("_hot"), month).otherwise(0)).drop("_hot")
 
 
 def month_links(divided: DataFrame, key: str, start: str, **extra: Column) -> DataFrame:
@@ -55,7 +46,7 @@ def month_links(divided: DataFrame, key: str, start: str, **extra: Column) -> Da
     month that has one, and the ``extra`` aggregates. Pre-aggregated before its shuffle."""
     by_month = Window.partitionBy(key).orderBy(BUCKET)
     return (
-        divided.where(F.col(HOT))
+        divided.where(F.col(BUCKET) != 0)
         .groupBy(key, BUCKET)
         .agg(F.min(start).alias("_head"), *[agg.alias(name) for name, agg in extra.items()])
         .withColumn("_next_head", F.lead("_head").over(by_month))
@@ -72,9 +63,14 @@ def with_successor(
 ) -> DataFrame:
     """Add the start of the key's next row, NULL on its last one.
 
-    ``(key, start)`` must be unique; ``one_row_per`` makes it so.
+    ``(key, start)`` must be unique; ``one_row_per`` makes it so. ``counted`` are the
+    rows to look for hot keys in: cheaper ones to count, with no fewer rows for a key
+    that has several.
     """
-    divided = bucketed(rows, key, start, counted)
+    hot = hot_keys(rows if counted is None else counted, key)
+    if hot is None:
+        return rows.withColumn(out, F.lead(start).over(Window.partitionBy(key).orderBy(start)))
+    divided = bucketed(rows, hot, key, start)
     inside = Window.partitionBy(key, BUCKET).orderBy(start)
     return (
         divided.withColumn(out, F.lead(start).over(inside))
@@ -85,12 +81,16 @@ def with_successor(
 
 
 def with_first(rows: DataFrame, key: str, start: str, out: str) -> DataFrame:
-    """Add the smallest ``start`` of the key. Rows of hot keys are not grouped at all."""
-    hot = F.broadcast(hot_keys(rows, key, **{out: F.min(start)}))
-    others = rows.join(hot, key, "left_anti").withColumn(
-        out, F.min(start).over(Window.partitionBy(key))
-    )
-    return rows.join(hot, key).select(*rows.columns, out).unionByName(others)
+    """Add the smallest ``start`` of the key. Rows of hot keys are not grouped at all:
+    the minima of these few keys are broadcast to them."""
+    hot, first = hot_keys(rows, key), F.min(start)
+    of_key = first.over(Window.partitionBy(key))
+    if hot is None:
+        return rows.withColumn(out, of_key)
+    hot_rows = rows.join(hot, key)
+    minima = F.broadcast(hot_rows.groupBy(key).agg(first.alias(out)))
+    others = rows.join(hot, key, "left_anti").withColumn(out, of_key)
+    return hot_rows.join(minima, key).select(*rows.columns, out).unionByName(others)
 
 
 def one_row_per(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

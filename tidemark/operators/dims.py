@@ -57,7 +57,7 @@ def validate_history(history: DataFrame, key: str) -> DataFrame:
     starts = history.groupBy(key, "effective_from").agg(
         F.count("*").alias("n"), F.max("effective_to").alias("effective_to")
     )
-    chain = with_successor(starts, key, "effective_from")
+    chain = with_successor(starts, key, "effective_from", counted=history)
 
     def tally(df: DataFrame, name: str, broken: Column) -> DataFrame:
         return df.agg(F.count_if(broken).alias("violations")).select(

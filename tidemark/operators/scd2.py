@@ -19,6 +19,7 @@ from tidemark.functions.times import Moment, before, high, ntz
 from tidemark.operators.chain import (
     BUCKET,
     bucketed,
+    hot_keys,
     month_links,
     one_row_per,
     with_successor,
@@ -59,7 +60,7 @@ def scd2_close_versions(
         open_rows.withColumn("_existing", F.lit(True)).unionByName(marks, allowMissingColumns=True),
         key,
         "effective_from",
-        counted=marks,
+        counted=updates,
     )
     return chain.where(F.col("_existing") & F.col("next_from").isNotNull()).select(
         key,
@@ -178,20 +179,14 @@ def scd2_apply_incremental(
     """
     run = ntz(run_ts)
     unusable = F.col(key).isNull() | F.col(change_ts).isNull()
-    usable = changes.where(~unusable).select(
-        key, *attrs, F.col(change_ts).alias("effective_from")
-    )
-    arriving = one_row_per(usable, [key, "effective_from"], attrs).select(
-        key,
-        *attrs,
-        "effective_from",
-        F.lit(LIVE).alias("deleted_flg"),
-        F.lit(False).alias("_existing"),
-    )
-    stored = open_rows.select(
-        key, *attrs, "effective_from", "deleted_flg", F.lit(True).alias("_existing")
-    )
-    rows = stored.unionByName(arriving).withColumn("_live", F.lit(live_keys is None))
+    arriving = one_row_per(
+        changes.where(~unusable).select(key, *attrs, F.col(change_ts).alias("effective_from")),
+        [key, "effective_from"],
+        attrs,
+    ).withColumns({"deleted_flg": F.lit(LIVE), "_existing": F.lit(False)})
+    stored = open_rows.select(key, *attrs, "effective_from", "deleted_flg")
+    rows = stored.withColumn("_existing", F.lit(True)).unionByName(arriving)
+    rows = rows.withColumn("_live", F.lit(live_keys is None))
     if live_keys is not None:
         # The live keys travel in the same shuffle, as rows without a time.
         present = live_keys.select(key).where(F.col(key).isNotNull()).distinct()
@@ -199,52 +194,49 @@ def scd2_apply_incremental(
             present.withColumn("_live", F.lit(True)), allowMissingColumns=True
         )
 
-    # Only changes can repeat a key.
-    divided = bucketed(rows, key, "effective_from", counted=usable)
     existing_from = F.when(F.col("_existing"), F.col("effective_from"))
-    of_key = Window.partitionBy(key)
-    links = month_links(
-        divided,
-        key,
-        "effective_from",
-        _open_from=F.max(existing_from),
-        _live=F.max("_live"),
-    ).select(
-        key,
-        BUCKET,
-        "_next_head",
-        F.max("_open_from").over(of_key).alias("_hot_open_from"),
-        F.max("_live").over(of_key).alias("_hot_live"),
-    )
+    group, links = [key], None
+    hot = hot_keys(changes, key)  # only changes can repeat a key
+    if hot is not None:
+        rows = bucketed(rows, hot, key, "effective_from")
+        group, of_key = [key, BUCKET], Window.partitionBy(key)
+        links = month_links(
+            rows, key, "effective_from", _from=F.max(existing_from), _present=F.max("_live")
+        ).select(
+            *group,
+            "_next_head",
+            F.max("_from").over(of_key).alias("_hot_open_from"),
+            F.max("_present").over(of_key).alias("_hot_live"),
+        )
 
     # An open version and a change may share a start; the version sorts first.
-    inside = Window.partitionBy(key, BUCKET).orderBy("effective_from", F.desc("_existing"))
+    inside = Window.partitionBy(*group).orderBy("effective_from", F.desc("_existing"))
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     body = F.struct(*attrs)
     ahead = F.lead("effective_from", 1).over(inside)
-    chained = (
-        divided.withColumns(
-            {
-                "_next": F.when(
-                    ahead == F.col("effective_from"), F.lead("effective_from", 2).over(inside)
-                ).otherwise(ahead),
-                "_copy": (F.lag("effective_from").over(inside) == F.col("effective_from"))
-                & F.lag(body).over(inside).eqNullSafe(body)
-                & F.lag("deleted_flg").over(inside).eqNullSafe(F.lit(LIVE)),
-                "_open_from": F.max(existing_from).over(whole),
-                "_any_live": F.max("_live").over(whole),
-            }
-        )
-        .where(F.col("_existing").isNotNull())
-        .join(links, [key, BUCKET], "left")
-    )
+    chained = rows.withColumns(
+        {
+            "_next": F.when(
+                ahead == F.col("effective_from"), F.lead("effective_from", 2).over(inside)
+            ).otherwise(ahead),
+            "_copy": (F.lag("effective_from").over(inside) == F.col("effective_from"))
+            & F.lag(body).over(inside).eqNullSafe(body)
+            & F.lag("deleted_flg").over(inside).eqNullSafe(F.lit(LIVE)),
+            "_open_from": F.max(existing_from).over(whole),
+            "_any_live": F.max("_live").over(whole),
+        }
+    ).where(F.col("_existing").isNotNull())
+    successor, open_from, live = F.col("_next"), F.col("_open_from"), F.col("_any_live")
+    if links is not None:
+        chained = chained.join(links, group, "left")
+        successor = F.coalesce(successor, F.col("_next_head"))
+        open_from = F.coalesce(F.col("_hot_open_from"), open_from)
+        live = F.coalesce(F.col("_hot_live"), live)
 
     start, flag = F.col("effective_from"), F.col("deleted_flg")
-    open_from = F.coalesce("_hot_open_from", "_open_from")
     late = ~F.col("_existing") & F.coalesce(start <= open_from, F.lit(False))
     copy = late & F.coalesce(F.col("_copy"), F.lit(False))
-    successor = F.coalesce(F.col("_next"), F.col("_next_head"))
-    gone = (flag == LIVE) & ~F.coalesce("_hot_live", "_any_live") & (start < run)
+    gone = (flag == LIVE) & ~live & (start < run)
 
     result = (
         F.when(late, F.array(_version("", attrs, start, high(), flag, REJECTED)))
