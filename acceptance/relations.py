@@ -6,7 +6,7 @@ transactions, error events for blocked passports.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +33,13 @@ def _plus_days(start: Column, days: Column) -> Column:
 class Sample:
     spark: SparkSession
     folder: str
+    _tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A sample table; its footer is looked at once per query."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Two daily snapshots of customers.
 

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -67,8 +68,13 @@ def test_failed_run_changes_nothing_and_keeps_its_files(spark, place):
         run_load(warehouse, str(feeds), broken, D1, str(archive))
     assert warehouse.manifest()["version"] == 0 and warehouse.transactions().isEmpty()
     assert len(list(feeds.glob("*_01032021.*"))) == 3 and not archive.exists()
+    staging = Path(warehouse.root) / "staging"
+    assert len(list(staging.iterdir())) == 1  # the failed run's input
     run_load(warehouse, str(feeds), bank(spark), D1, str(archive))
     assert warehouse.manifest()["version"] == 1 and warehouse.transactions().count() == 1
+    assert len(list(staging.iterdir())) == 1  # a run that succeeds leaves none
+    warehouse.expire(keep=5)
+    assert not list(staging.iterdir()) and warehouse.transactions().count() == 1
 
 
 def test_bad_date_fails_the_run(spark, place):
@@ -92,9 +98,14 @@ def test_missing_feed_stops_the_run(spark, place):
 def test_of_two_runs_at_once_one_must_start_again(spark, place):
     warehouse = place[0]
     one, other = warehouse.begin(), warehouse.begin()
+    for commit, passport in ((one, "first"), (other, "second")):
+        row = [(passport, D1)]
+        commit.add_blacklist(spark.createDataFrame(row, schemas.FACT_BLACKLIST))
     one.publish()
     with pytest.raises(ConcurrentLoadError):
         other.publish()
+    assert [r.passport_num for r in warehouse.blacklist().collect()] == ["first"]
+    assert warehouse.expire(keep=1) and warehouse.blacklist().count() == 1
 
 
 def test_backlog_in_date_order_then_expiry(spark, place):
@@ -109,7 +120,8 @@ def test_backlog_in_date_order_then_expiry(spark, place):
     before = {n: sorted(map(str, warehouse.history(n).collect())) for n in schemas.DIMS}
     deleted = warehouse.expire(keep=1)
     # The first open set is gone; its closed rows and the facts are still in use.
-    assert "data/terminals/v=1" in deleted and "data/transactions/v=1" not in deleted
+    assert any(d.startswith("data/terminals/v=1-") for d in deleted)
+    assert not any(d.startswith("data/transactions/") for d in deleted)
     assert {n: sorted(map(str, warehouse.history(n).collect())) for n in schemas.DIMS} == before
     assert warehouse.transactions().count() == 3 and len(warehouse._versions()) == 1
 

@@ -6,8 +6,8 @@ together. Nothing is updated in place: the open part of a history is replaced, i
 closed part and the facts only grow.
 
     <root>/manifests/00000007.json      the latest number is current
-    <root>/data/<table>/v=7/...         what version 7 added
-    <root>/staging/<table>              input of the run under way, emptied by the next
+    <root>/data/<table>/v=7-<id>/...    what version 7 added
+    <root>/staging/7-<id>/<table>       input of the run that makes version 7, until then
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ class Warehouse:
         full = T.StructType([*schema.fields, *partitions.fields])
         if not folders:
             return self.spark.createDataFrame([], full)
-        discovered = T.StructType([*full.fields, T.StructField("v", T.LongType())])
+        discovered = T.StructType([*full.fields, T.StructField("v", T.StringType())])
         return (
             self.spark.read.schema(discovered)
             .option("basePath", f"{self.root}/data/{table}")
@@ -170,8 +170,9 @@ class Warehouse:
     # Housekeeping.
 
     def expire(self, keep: int) -> list[str]:
-        """Delete data folders that none of the last ``keep`` versions names, and the
-        manifests before those. Returns the folders deleted."""
+        """Delete data folders that none of the last ``keep`` versions names, the
+        manifests before those, and the input of failed runs. Returns the data folders
+        deleted. What a run still under way has written is left alone."""
         if keep < 1:
             raise ValueError("at least the current version must be kept")
         versions = self._versions()
@@ -181,10 +182,13 @@ class Warehouse:
         for table in files.list_names(self.spark, f"{self.root}/data"):
             for name in files.list_names(self.spark, f"{self.root}/data/{table}"):
                 folder = f"data/{table}/{name}"
-                old = int(name.removeprefix("v=")) <= versions[-1]
+                old = int(name.removeprefix("v=").split("-")[0]) <= versions[-1]
                 if folder not in live and old:
                     files.delete_folder(self.spark, f"{self.root}/{folder}")
                     deleted.append(folder)
+        for name in files.list_names(self.spark, f"{self.root}/staging"):
+            if int(name.split("-")[0]) <= versions[-1]:
+                files.delete_folder(self.spark, f"{self.root}/staging/{name}")
         for version in versions[:-keep]:
             files.delete_folder(self.spark, self._manifest_path(version))
         return deleted
@@ -203,6 +207,9 @@ class Commit:
         self.base = warehouse.manifest()
         self.next = copy.deepcopy(self.base)
         self.next["version"] += 1
+        # Of two runs at once each writes folders of its own; only one can publish.
+        self.run = f"{self.next['version']}-{uuid.uuid4().hex[:12]}"
+        self.staging = f"{warehouse.root}/staging/{self.run}"
 
     def stage(self, table: str, rows: DataFrame) -> DataFrame:
         """Write the input of this run and read it back.
@@ -211,12 +218,12 @@ class Commit:
         after an executor was lost could have moved on in between, and the loaded rows
         and the mark would then disagree.
         """
-        path = f"{self.warehouse.root}/staging/{table}"
+        path = f"{self.staging}/{table}"
         rows.write.mode("overwrite").parquet(path)
         return self.warehouse.spark.read.schema(rows.schema).parquet(path)
 
     def _write(self, table: str, rows: DataFrame, *partitions: str) -> str:
-        folder = f"data/{table}/v={self.next['version']}"
+        folder = f"data/{table}/v={self.run}"
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(
             f"{self.warehouse.root}/{folder}"
         )
@@ -263,4 +270,6 @@ class Commit:
         self.next["streams"][feed] = batch_id
 
     def publish(self) -> None:
+        """Make the changes visible; the input is no longer needed then."""
         self.warehouse._publish(self.next)
+        files.delete_folder(self.warehouse.spark, self.staging)
