@@ -12,6 +12,7 @@ from tidemark import operators as op
 from tidemark.operators import chain
 from tidemark.plans import Warehouse, report
 from tidemark.schemas import HIGH
+from tidemark.session import settings
 
 FOLDER = "/root/testdata/sf0.001"
 T0 = datetime(2021, 1, 1)
@@ -30,7 +31,7 @@ def final_plan(df):
 @pytest.fixture
 def shuffled(spark):
     """No broadcasts, and skew thresholds that small test data can reach."""
-    changed = {
+    conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -38,12 +39,8 @@ def shuffled(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
         "spark.sql.shuffle.partitions": "8",
     }
-    before = {name: spark.conf.get(name, None) for name in changed}
-    for name, value in changed.items():
-        spark.conf.set(name, value)
-    yield spark
-    for name, value in before.items():
-        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    with settings(spark, conf):
+        yield spark
 
 
 LAZY = [
@@ -235,10 +232,42 @@ def loaded(spark, root):
     return warehouse
 
 
-def test_report_with_and_without_broadcast(spark, tmp_path):
-    """The flagged cards are broadcast only up to the limit; the report is the same."""
+def test_report_by_each_kind_of_join(spark, tmp_path, monkeypatch):
+    """Broadcast, filtered before the shuffle, or shuffled whole: the report is the same."""
     warehouse = loaded(spark, str(tmp_path / "w"))
     at = T0 + timedelta(days=90)
-    broadcast = sorted(map(str, report.run_report(warehouse, at).collect()))
-    shuffled = sorted(map(str, report.run_report(warehouse, at, broadcast_bytes=0).collect()))
-    assert broadcast == shuffled and len(broadcast) == 30_000
+    scan = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    with settings(spark, {scan: "1KB", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        broadcast = sorted(map(str, report.run_report(warehouse, at).collect()))
+        filtered = sorted(map(str, report.run_report(warehouse, at, broadcast_bytes=0).collect()))
+        monkeypatch.setattr(report, "MAX_FILTER_CARDS", 0)
+        shuffled = sorted(map(str, report.run_report(warehouse, at, broadcast_bytes=0).collect()))
+    assert broadcast == filtered == shuffled and len(broadcast) == 30_000
+
+
+def test_large_card_sets_filter_the_transactions_before_their_shuffle(spark, tmp_path):
+    warehouse = loaded(spark, str(tmp_path / "w"))
+    path = str(tmp_path / "flagged")
+    spark.range(300).selectExpr(
+        "string(id) AS card_num", "'p' AS passport", "'f' AS fio", "'+7' AS phone", "'1' AS event_type"
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    scan = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
+    def plan(limit, expected_rows):
+        flagged, conf = report.plan_card_join(stored, limit)
+        conf = {**conf, scan: "1KB", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+        with settings(spark, conf):
+            rows = op.fraud_events(warehouse.transactions(), flagged, T0 + timedelta(days=90))
+            text = physical(rows)
+            assert rows.count() == expected_rows
+        return text
+
+    expected = warehouse.transactions().where("int(card_num) < 300").select("trans_date").distinct()
+    small, large = plan(1_000_000, expected.count()), plan(0, expected.count())
+    assert "BroadcastHashJoin" in small and "might_contain" not in small
+    assert "might_contain" in large
+    lines = large.splitlines()
+    at = next(i for i, line in enumerate(lines) if "might_contain" in line)
+    assert any("Exchange hashpartitioning(card_num" in line for line in lines[at - 3 : at])
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.maxNumItems") == "4000000"
