@@ -271,3 +271,17 @@ def test_large_card_sets_filter_the_transactions_before_their_shuffle(spark, tmp
     at = next(i for i, line in enumerate(lines) if "might_contain" in line)
     assert any("Exchange hashpartitioning(card_num" in line for line in lines[at - 3 : at])
     assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.maxNumItems") == "4000000"
+
+
+def test_large_open_sets_are_written_by_many_tasks(shuffled, tmp_path):
+    """Rows of one part share a hash, but AQE splits what they would send to one task."""
+    warehouse = Warehouse.bootstrap(shuffled, str(tmp_path / "w"))
+    cards, _, _ = dims(shuffled, 60_000)
+    state = F.when(F.col("card_num").cast("int") % 1000 == 0, "closed").otherwise("open")
+    commit = warehouse.begin()
+    commit.put_history("cards", cards.withColumn("state", state))
+    commit.publish()
+    # A split is at least what one task has sent, and there are eight.
+    assert len(warehouse.open_rows("cards").inputFiles()) == 8
+    assert len(warehouse.history("cards", "closed").inputFiles()) == 1
+    assert warehouse.history("cards").count() == 60_000

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from tidemark.sources import (
     read_workbook,
     stamp_file_date,
 )
+from tidemark.sources.jdbc import changed_rows_query
 
 D1, D2 = datetime(2021, 3, 1), datetime(2021, 3, 2)
 
@@ -179,3 +181,17 @@ def test_jdbc_options():
     assert options["dbtable"] == "bank.cards" and options["numPartitions"] == "64"
     assert options["preferTimestampNTZ"] == "true" and options["driver"] == "d"
     assert "numPartitions" not in JdbcSource("jdbc:x:y").options("t")
+
+
+def test_jdbc_extract_query():
+    """What the database is asked for, run here by another engine in place of a driver."""
+    query = changed_rows_query("t", ["id"], D1, "update_dt", "create_dt")
+    assert query.count("{ts '2021-03-01 00:00:00'}") == 2
+    connection = duckdb.connect()
+    connection.execute(
+        "CREATE TABLE t AS SELECT * FROM (VALUES (1, TIMESTAMP '2021-03-01', NULL), "
+        "(2, TIMESTAMP '2021-03-01', TIMESTAMP '2021-03-02'), (3, TIMESTAMP '2021-03-02', NULL), "
+        "(4, TIMESTAMP '2021-03-02', TIMESTAMP '2021-02-28')) AS v(id, create_dt, update_dt)"
+    )
+    translated = query.replace("{ts ", "TIMESTAMP ").replace("}", "")
+    assert sorted(connection.execute(translated).fetchall()) == [(2,), (3,)]
