@@ -466,8 +466,9 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         "",
         """
         , cards AS (
-            SELECT CAST(o_orderkey AS VARCHAR) AS card_num, CAST(o_custkey AS VARCHAR) AS account_num,
-            o_orderdate AS f, o_orderkey % 11 <> 5 AND o_orderkey % 3 = 0 AS moved,
+            SELECT CAST(o_orderkey AS VARCHAR) AS card_num,
+            CAST(o_custkey AS VARCHAR) AS account_num, o_orderdate AS f,
+            o_orderkey % 11 <> 5 AND o_orderkey % 3 = 0 AS moved,
             o_orderkey % 11 = 5 AS gone
             FROM orders
         )

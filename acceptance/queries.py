@@ -105,8 +105,9 @@ def _src_workbook(s: Sample) -> DataFrame:
 
     def write(book: pd.DataFrame) -> pd.DataFrame:
         header = ["id", "name", "nation", "valid"]
+        start = datetime(2023, 1, 1)
         sheet = [
-            [int(r.c_custkey), r.c_name, int(r.c_nationkey), datetime(2023, 1, 1) + timedelta(r.days)]
+            [int(r.c_custkey), r.c_name, int(r.c_nationkey), start + timedelta(r.days)]
             for r in book.itertuples()
         ]
         content = workbook_bytes({"customers": [header, *sheet]})

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import before, change_time, high, ntz, to_second
+from tidemark.functions import before, change_time, high, ntz
 from tidemark.operators.chain import one_row_per
 
 REPORT_TS = "2024-01-15 23:59:59"

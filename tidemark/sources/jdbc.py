@@ -40,21 +40,15 @@ class JdbcSource:
         return options
 
 
-def _load(
+def jdbc_table(
     spark: SparkSession, source: JdbcSource, table: str, columns: list[str]
 ) -> DataFrame:
-    """Columns under the given names, whatever case the database reports them in."""
+    """Chosen columns of a source table, or of a query in brackets, under the given names
+    whatever case the database reports them in; only they are fetched."""
     loaded = spark.read.format("jdbc").options(**source.options(table)).load()
     return loaded.select(*[F.col(c).alias(c) for c in columns])
 
 
-def jdbc_table(
-    spark: SparkSession, source: JdbcSource, table: str, columns: list[str]
-) -> DataFrame:
-    """Chosen columns of a source table; only they are fetched."""
-    return _load(spark, source, table, columns)
-
-
 def changed_rows_query(
     table: str, columns: list[str], mark: Moment, update_col: str, create_col: str
 ) -> str:
@@ -82,4 +76,4 @@ def jdbc_incremental(
 ) -> DataFrame:
     """Rows changed since the mark; the database evaluates the comparison."""
     query = changed_rows_query(table, columns, mark, update_col, create_col)
-    return _load(spark, source, f"({query}) changed", columns)
+    return jdbc_table(spark, source, f"({query}) changed", columns)

@@ -102,7 +102,11 @@ def feed_stream(
     archive: str | None = None,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Load everything that waits of one feed. Start it again when new files arrive."""
+    """Load everything that waits of one feed. Start it again when new files arrive.
+
+    All feeds publish to the same manifest, so run one load at a time: of two at once
+    the second fails and takes its batch again when restarted.
+    """
     take = _TAKERS[feed]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
