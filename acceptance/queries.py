@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,13 @@ from tidemark import operators as op
 from tidemark.functions import change_time, full_name, normalize_keys, parse_amount, parse_dates
 from tidemark.functions.clean import DAY_PATTERN, DOTTED_DAY_PATTERN, SECOND_PATTERN
 from tidemark.plans import FrameBank, Warehouse, run_report
-from tidemark.plans.load import load_bank_table, load_blacklist, load_terminals
+from tidemark.plans.load import (
+    load_bank_table,
+    load_blacklist,
+    load_terminals,
+    load_together,
+    load_transactions,
+)
 from tidemark.session import scratch_path
 from tidemark.sources import (
     discover_feed,
@@ -458,9 +465,12 @@ def _report_stored(s: Sample) -> DataFrame:
     )
     warehouse = _new_warehouse(s)
     commit = warehouse.begin()
-    for table in bank.tables:
-        load_bank_table(commit, bank, table, "2020-01-01")
-    load_blacklist(commit, listed)
-    commit.add_transactions(op.fact_transactions(staged))
+    load_together(
+        [
+            partial(load_transactions, commit, lambda **_: staged),
+            partial(load_blacklist, commit, listed),
+            *[partial(load_bank_table, commit, bank, t, "2020-01-01") for t in bank.tables],
+        ]
+    )
     commit.publish()
     return run_report(warehouse, REPORT_TS)

@@ -102,6 +102,8 @@ def load_transactions(
     times = fact_transactions(read(columnPruning="true")).select("trans_date")
     first, last = times.agg(F.min("trans_date"), F.max("trans_date")).first()
     stored = commit.warehouse.transactions(first, last) if skip_stored else None
+    if stored is not None and stored.isEmpty():
+        stored = None  # a new day, as on most nights: appended without a shuffle
     commit.add_transactions(append_fact(fact_transactions(read()), stored))
     marks = commit.warehouse.spark.createDataFrame([(last,)], "last timestamp_ntz")
     return {"transactions": (marks, F.col("last"))}
@@ -165,6 +167,16 @@ def read_terminals(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.withColumn("file_date", file_date(F.col("path"))).drop("path")
 
 
+def load_together(steps: list[Callable[[], Newest]]) -> Newest:
+    """Load tables side by side. They do not depend on each other, so the jobs of small
+    ones fill what those of large ones leave idle. Any failure fails the run."""
+    newest: Newest = {}
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            newest |= done.result()
+    return newest
+
+
 def run_load(
     warehouse: Warehouse,
     feeds: str,
@@ -182,7 +194,6 @@ def run_load(
     spark = warehouse.spark
     drops = {feed: next_drop(spark, feeds, feed) for feed in FEED_NAMES}
     commit = warehouse.begin()
-    newest: Newest = {}
 
     def transactions(**options: str) -> DataFrame:
         path = drops["transactions"].path
@@ -196,11 +207,7 @@ def run_load(
         lambda: load_terminals(commit, terminals, drops["terminals"].date),
         *[partial(load_bank_table, commit, bank, table, run_ts) for table in STG_BANK],
     ]
-    # The tables do not depend on each other, so small ones fill what large ones leave idle.
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
-            newest |= done.result()
-    commit.put_watermarks(advance_watermark(warehouse.watermarks(), newest))
+    commit.put_watermarks(advance_watermark(warehouse.watermarks(), load_together(steps)))
     commit.publish()
 
     if archive:
