@@ -147,6 +147,34 @@ def test_client_with_a_third_of_the_accounts_is_split(shuffled):
     assert "skew=true" in final_plan(subjects)
 
 
+def test_account_with_a_third_of_the_cards_is_split(shuffled):
+    cards, accounts, clients = dims(shuffled, 60_000)
+    account = F.when(F.col("card_num").cast("int") % 3 == 0, "7").otherwise(F.col("card_num"))
+    at = T0 + timedelta(1)
+    subjects = op.expired_subjects(accounts, clients, at)
+    flagged = op.flagged_cards(cards.withColumn("account_num", account), subjects, at)
+    assert "skew=true" in final_plan(flagged)
+    assert flagged.count() == 60_000
+
+
+def test_passport_shared_by_a_third_of_the_clients_is_split(shuffled):
+    """A placeholder typed in for want of a passport, and listed on many days."""
+    _, accounts, clients = dims(shuffled, 60_000)
+    shared = F.when(F.col("client_id").cast("int") % 3 == 0, "0000").otherwise(F.col("client_id"))
+    clients = clients.withColumn("passport_num", shared)
+    number = F.col("id").cast("string")
+    day = F.date_add(F.lit(T0.date()), (F.col("id") % 50).cast("int"))
+    listed = shuffled.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "0000").otherwise(number).alias("passport_num"),
+        day.cast("timestamp_ntz").alias("entry_dt"),
+    )
+    subjects = op.blacklisted_subjects(accounts, clients, listed, T0 + timedelta(days=90))
+    assert "skew=true" in final_plan(subjects)
+    assert subjects.where("passport = '0000'").count() == 20_000
+    ids = [r.account_num for r in subjects.where("passport <> '0000'").collect()]
+    assert sorted(map(int, ids)) == [n for n in range(30_000) if n % 3]
+
+
 def test_stored_key_that_dominates_a_load_is_split(shuffled):
     rows = hot_facts(shuffled, 120_000).withColumn(
         "trans_date", F.lit(T0).cast("timestamp_ntz")
