@@ -6,6 +6,7 @@ from tidemark.operators.dims import dim_as_of, dim_current, dim_first_seen, vali
 from tidemark.operators.facts import append_fact, fact_blacklist, fact_transactions
 from tidemark.operators.fraud import (
     blacklisted_subjects,
+    by_holder_number,
     contract_subjects,
     enrich_as_of,
     expired_subjects,
@@ -14,6 +15,7 @@ from tidemark.operators.fraud import (
     fraud_events,
     fraud_passport,
     fraud_report_all,
+    number_holders,
     passport_subjects,
     report_subjects,
 )
@@ -37,6 +39,7 @@ __all__ = [
     "advance_watermark",
     "append_fact",
     "blacklisted_subjects",
+    "by_holder_number",
     "changed_since",
     "contract_subjects",
     "dim_as_of",
@@ -54,6 +57,7 @@ __all__ = [
     "history_of",
     "hot_keys",
     "incremental",
+    "number_holders",
     "one_row_per",
     "passport_subjects",
     "read_watermark",

@@ -16,6 +16,8 @@ side turns out small at run time.
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,22 +163,40 @@ def flagged_cards(cards: DataFrame, subjects: DataFrame, report_ts: Moment) -> D
 def fraud_events(
     facts: DataFrame, flagged: DataFrame, report_ts: Moment, distinct: bool = True
 ) -> DataFrame:
-    """Report rows for the transactions made with flagged cards.
+    """Report rows for the transactions made with flagged cards: when, what ``flagged``
+    tells about the card, and the report time.
 
     Hand over ``broadcast(flagged)`` where its size has been checked: the transactions
     are then not shuffled at all, only the rows found.
     """
+    told = [c for c in flagged.columns if c != "card_num"]
     events = (
         facts.where(F.col("trans_date") <= ntz(report_ts))
         .select("card_num", F.col("trans_date").alias("event_id"))
         .join(flagged, "card_num")
-        .select("event_id", *HOLDER, "event_type")
+        .select("event_id", *told)
     )
     if distinct:
         events = events.distinct()
     return events.withColumn("report_dt", ntz(report_ts))
 
 
+def number_holders(subjects: DataFrame) -> DataFrame:
+    """The distinct holders with a number each, as short as they are long.
+
+    Store the result before using it: the numbers are not the same when computed again.
+    """
+    holders = subjects.select(*HOLDER).distinct()
+    return holders.withColumn("holder", F.monotonically_increasing_id())
+
+
+def by_holder_number(subjects: DataFrame, holders: DataFrame) -> DataFrame:
+    """Subjects with the number of their holder in place of the holder's columns."""
+    numbered = holders.alias("h")
+    same = reduce(and_, [F.col(f"s.{c}").eqNullSafe(F.col(f"h.{c}")) for c in HOLDER])
+    return subjects.alias("s").join(numbered, same).select("account_num", "holder", "event_type")
+
+
 def fraud_passport(
     facts: DataFrame,
     cards: DataFrame,

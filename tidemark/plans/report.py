@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import Moment
-from tidemark.operators.fraud import flagged_cards, fraud_events, report_subjects
+from tidemark.operators.fraud import (
+    by_holder_number,
+    flagged_cards,
+    fraud_events,
+    number_holders,
+    report_subjects,
+)
 from tidemark.plans.store import Warehouse
 from tidemark.session import settings
 
@@ -21,7 +27,10 @@ FILTER_BITS = 8
 
 def _measure(rows: DataFrame) -> tuple[int, int]:
     """Number of rows, and the bytes they take in memory: their text and a fixed part."""
-    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in rows.columns), F.lit(ROW_OVERHEAD))
+    text = sum(
+        (F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in rows.dtypes if kind == "string"),
+        F.lit(ROW_OVERHEAD),
+    )
     number, size = rows.agg(F.count("*"), F.sum(text.cast("long"))).first()
     return number, size or 0
 
@@ -64,22 +73,30 @@ def run_report(
 
     The flagged cards come from the dimensions alone. They are written first, so that
     their size is known before the transactions are touched: AQE would start shuffling
-    both sides of the join together.
+    both sides of the join together. Next to the transactions a holder is only a number,
+    so the rows made distinct are short; passport, name and phone are joined at the end.
     """
     commit = warehouse.begin()
-    subjects = report_subjects(
-        warehouse.history("accounts"),
-        warehouse.history("clients"),
-        warehouse.blacklist(),
-        report_ts,
-        grace_last_day,
+    subjects = commit.stage(
+        "subjects",
+        report_subjects(
+            warehouse.history("accounts"),
+            warehouse.history("clients"),
+            warehouse.blacklist(),
+            report_ts,
+            grace_last_day,
+        ),
     )
+    holders = commit.stage("holders", number_holders(subjects))
+    numbered = by_holder_number(subjects, holders)
     stored = commit.stage(
-        "flagged_cards", flagged_cards(warehouse.history("cards"), subjects, report_ts)
+        "flagged_cards", flagged_cards(warehouse.history("cards"), numbered, report_ts)
     )
     flagged, conf = plan_card_join(stored, broadcast_bytes)
+    if _measure(holders)[1] <= broadcast_bytes:
+        holders = F.broadcast(holders)
     with settings(warehouse.spark, conf):
         events = fraud_events(warehouse.transactions(last=report_ts), flagged, report_ts)
-        commit.put_report(report_ts, events)
+        commit.put_report(report_ts, events.join(holders, "holder"))
     commit.publish()
     return warehouse.report(report_ts)
