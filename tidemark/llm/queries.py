@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, licenses, packing, quality, secrets, toxicity
+from tidemark.llm import decontam, extraction, licenses, neardup, packing, quality, secrets, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.digest(found)
@@ -59,13 +63,24 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.drop_recurring(table(spark, sf_dir, "documents"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_licenses": op2_licenses,
+    "op3_extraction": op3_extraction,
     "op4_decontamination": op4_decontamination,
     "op5_secrets": op5_secrets,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
+    "op8_line_dedup": op8_line_dedup,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {}

@@ -34,8 +34,9 @@ from tidemark.llm.words import ALNUM, WORD_PATTERN, Chunk, ascii_lower, chunks,
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 10_000
-#: Terms that are learned, at most, and toxic sample texts that a term needs.
-MAX_TERMS, MIN_TOXIC = 200, 8
+#: Terms that are learned, at most; toxic sample texts that a term needs, by number and by share. Rarer terms
+#: are mostly words of one text and its near copies.
+MAX_TERMS, MIN_TOXIC, MIN_SHARE = 50, 8, 0.04
 #: How much oftener than in clean texts a term must stand in toxic ones.
 MIN_ODDS = 25.0
 #: Words on each side of a match that are its context.
@@ -254,8 +255,9 @@ def learn_terms(sample: DataFrame) -> tuple[list[str], list[str]]:
     if not n or not n["t"] or not n["c"]:
         return [], []
     odds = (F.col("toxic") / F.lit(n["t"])) / ((F.col("clean") + 0.5) / F.lit(n["c"] + 1))
+    least = max(MIN_TOXIC, MIN_SHARE * n["t"])
     best = (
-        seen.where((F.col("toxic") >= MIN_TOXIC) & (odds >= MIN_ODDS))
+        seen.where((F.col("toxic") >= least) & (odds >= MIN_ODDS))
         .orderBy(F.desc("toxic"), "term")
         .limit(20 * MAX_TERMS)
         .collect()
