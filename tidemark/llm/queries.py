@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, extraction, licenses, neardup, packing, quality, secrets, templates, toxicity
+from tidemark.llm import (
+    decontam,
+    extraction,
+    licenses,
+    neardup,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    templates,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +78,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.drop_recurring(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -80,6 +95,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
+    "op9_repeats": op9_repeats,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
