@@ -1,6 +1,6 @@
 """Line deduplication by a tree of log templates.
 
-Every line is parsed to a fixed depth: its number of tokens, then its leading tokens, with tokens
+Every line is parsed to a fixed depth: its number of tokens (what single spaces part), then its leading tokens, with tokens
 that hold a digit taken as variable. Lines of one leaf are generalised together: a token stays in
 the template where at least `min_docs` documents have it at that place, and becomes a variable
 where it does not. A template that at least `min_docs` documents share, and of whose tokens at
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import checkpointed
+
 #: Hashes in a broadcast set, at most (16 bytes each).
 BROADCAST_ROWS = 100_000
 #: Leading tokens in the key of a leaf.
@@ -37,14 +39,15 @@ def _masked(tokens: Column) -> Column:
 def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     """(row_key, pos, tokens, leaf) of every line that may be boilerplate."""
     lines = docs.select("row_key", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
-    parsed = lines.select("row_key", "pos", F.split(F.trim("line"), r"\s+").alias("tokens"))
+    parsed = lines.select("row_key", "pos", F.split(F.trim("line"), " ").alias("tokens"))
     parsed = parsed.where(F.size("tokens") >= min_tokens)
     leading = _masked(F.slice("tokens", 1, DEPTH))
     return parsed.withColumn("leaf", F.xxhash64(F.size("tokens"), leading))
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A broadcast of a set that is small enough, else the set as it is."""
+    """The set, computed once; broadcast if it is small enough."""
+    df = checkpointed(df)
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
@@ -100,11 +103,9 @@ def drop_recurring(
     )
     lines = _lines(docs.select("row_key", "text"), min_tokens)
     leaves = _small(_recurring_leaves(lines, min_docs))
-    likely = (
-        lines.join(leaves, "leaf")
-        .withColumn("tokens", _masked(F.col("tokens")))
-        .withColumn("line", F.xxhash64("tokens"))
-    )
+    likely = lines.join(leaves, "leaf").withColumn("tokens", _masked(F.col("tokens")))
+    # the texts are parsed twice in all: for the leaves, and for the lines of recurring ones
+    likely = checkpointed(likely.withColumn("line", F.xxhash64("tokens")))
     found = _small(recurring_lines(likely, min_docs, constant).select("leaf", "line"))
     flagged = likely.select("row_key", "pos", "leaf", "line", F.size("tokens").alias("n")).join(found, ["leaf", "line"])
     drops = flagged.groupBy("row_key").agg(F.collect_list("pos").alias("drop"), F.sum("n").alias("words"))
