@@ -34,8 +34,8 @@ from tidemark.llm.decontam import union_of
 from tidemark.llm.words import Chunk, chunks, keyed, mix, powers, signed
 
 SPAN, GRAM = 400, 32
-#: Different contexts of one anchor that are sorted together, at most.
-HOT = 500
+#: Different contexts of one anchor that are sorted together, at most; about 600 bytes each, so some 2.5 MB.
+HOT = 4000
 #: Bytes of contexts that are sorted at once, but for the rest of one anchor's contexts.
 SORT_BYTES = 1 << 20
 
