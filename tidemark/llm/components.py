@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import scratch_path, shared_dir
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -14,6 +14,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Written as a table to the shared checkpoint folder and read again; smaller than a checkpoint."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of a link (a, b); root is the same for nodes that links connect.
 

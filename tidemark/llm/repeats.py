@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import checkpointed
+from tidemark.llm.components import stored
 from tidemark.llm.decontam import union_of
 from tidemark.llm.words import Chunk, chunks, keyed, mix, powers, signed
 
@@ -277,8 +277,8 @@ _CONTEXT = "h long, n long, row_key long, lo long, hi long, bytes binary"
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(row_key, s, e) of byte ranges of repeats; docs: (row_key, text). Ranges of a text may overlap."""
     schema = "row_key long, h long, c1 long, c2 long, lo long, hi long"
-    found = checkpointed(docs.select("row_key", "text").mapInArrow(_anchored(span, gram), schema))
-    kinds = checkpointed(
+    found = stored(docs.select("row_key", "text").mapInArrow(_anchored(span, gram), schema))
+    kinds = stored(
         found.groupBy("h", "c1", "c2").agg(
             F.count("*").alias("n"), F.min(F.struct("row_key", "lo", "hi")).alias("place")
         )
