@@ -5,8 +5,8 @@ text or another. Equal strings of that length have their smallest hashed gram (a
 place, so they can only meet at anchors of equal hash. Each text is cut into the runs of string
 starts that share an anchor; the bytes of a run's strings are its context.
 
-1. Contexts that are equal as a whole are counted by two independent 64-bit hashes. All their
-   strings are repeats. Only one context of each kind goes on, so groups of copies are one row.
+1. Contexts that are equal as a whole are counted, by the 64-bit hashes of the anchor and of the
+   whole. All their strings are repeats. Only one context of each kind goes on, so groups of copies are one row.
 2. Contexts that differ but have an anchor in common are brought together, some megabytes at a
    time. The suffixes that start a string are sorted by their first `span` bytes (prefix doubling);
    suffixes with that much in common are sorted on, and a stack scan over the lengths of common
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import stored
 from tidemark.llm.decontam import union_of
-from tidemark.llm.words import Chunk, chunks, keyed, mix, powers, signed
+from tidemark.llm.words import CHUNK_BYTES, Chunk, chunks, keyed, mix, powers, signed
 
 SPAN, GRAM = 400, 32
 #: Different contexts of one anchor that are sorted together, at most; about 600 bytes each, so some 2.5 MB.
@@ -72,19 +72,19 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(chunk: Chunk, span: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, anchor hash, two context hashes, place of the anchor, first and last string start).
+    """(text, anchor hash, context hash, first and last string start).
 
     Places are bytes within the text.
     """
     data, offsets = chunk.data, chunk.offsets
-    none = tuple(np.zeros(0, np.int64) for _ in range(7))
+    none = tuple(np.zeros(0, np.int64) for _ in range(5))
     lengths = np.diff(offsets)
     counts = np.maximum(0, lengths - span + 1)
     if not counts.sum():
         return none
-    first, second = Rolling(data, 0), Rolling(data, 1)
+    rolling = Rolling(data, 0)
     at = np.arange(len(data) - gram + 1)
-    hashes = first.of(at, at + gram)
+    hashes = rolling.of(at, at + gram)
     ranked = (hashes & ~_PLACE) | at.astype(np.uint64)
     least = sliding_least(ranked, span - gram + 1)
     text = np.repeat(np.arange(len(lengths)), counts)
@@ -97,21 +97,21 @@ def anchors(chunk: Chunk, span: int, gram: int) -> tuple[np.ndarray, ...]:
     high = np.concatenate((low[1:], [len(start)])) - 1
     text, lo, hi, place = text[low], start[low], start[high], place[low]
     shape = mix((place - lo).astype(np.uint64) + (hi - lo).astype(np.uint64) * np.uint64(1 << 20))
-    c1, c2 = (mix(r.of(lo, hi + span) + shape) for r in (first, second))
+    whole = mix(rolling.of(lo, hi + span) + shape)
     base = offsets[text]
-    return text, hashes[place], c1, c2, place - base, lo - base, hi - base
+    return text, hashes[place], whole, lo - base, hi - base
 
 
 def _anchored(span: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("row_key").to_numpy()
-            for chunk in chunks(batch.column("text")):
-                text, h, c1, c2, place, lo, hi = anchors(chunk, span, gram)
+            for chunk in chunks(batch.column("text"), CHUNK_BYTES // 2):
+                text, h, c, lo, hi = anchors(chunk, span, gram)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[chunk.first + text]), signed(h), signed(c1), signed(c2),
+                    [pa.array(keys[chunk.first + text]), signed(h), signed(c),
                      pa.array(lo.astype(np.int64)), pa.array(hi.astype(np.int64))],
-                    ["row_key", "h", "c1", "c2", "lo", "hi"],
+                    ["row_key", "h", "c", "lo", "hi"],
                 )
 
     return rows
@@ -276,14 +276,14 @@ _CONTEXT = "h long, n long, row_key long, lo long, hi long, bytes binary"
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(row_key, s, e) of byte ranges of repeats; docs: (row_key, text). Ranges of a text may overlap."""
-    schema = "row_key long, h long, c1 long, c2 long, lo long, hi long"
+    schema = "row_key long, h long, c long, lo long, hi long"
     found = stored(docs.select("row_key", "text").mapInArrow(_anchored(span, gram), schema))
     kinds = stored(
-        found.groupBy("h", "c1", "c2").agg(
+        found.groupBy("h", "c").agg(
             F.count("*").alias("n"), F.min(F.struct("row_key", "lo", "hi")).alias("place")
         )
     )
-    whole = found.join(kinds.where("n > 1").select("h", "c1", "c2"), ["h", "c1", "c2"]).select(
+    whole = found.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select(
         "row_key", F.col("lo").alias("s"), (F.col("hi") + span).alias("e")
     )
     shared = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least"))
