@@ -230,3 +230,7 @@ def test_older_feeds_after_newer_ones(spark, loaded):
     assert sorted(map(str, warehouse.watermarks().collect())) == marks
     assert sorted(map(str, warehouse.blacklist().collect())) == listed
     assert warehouse.transactions().count() == 9
+    assert warehouse.rejected_transactions().count() == 0
+    late = warehouse.rejected_rows("terminals")
+    assert late.count() == len(terminals_of(D1))
+    assert {r["effective_from"] for r in late.collect()} == {D1}

@@ -313,3 +313,23 @@ def test_large_open_sets_are_written_by_many_tasks(shuffled, tmp_path):
     assert len(warehouse.open_rows("cards").inputFiles()) == 8
     assert len(warehouse.history("cards", "closed").inputFiles()) == 1
     assert warehouse.history("cards").count() == 60_000
+
+
+def test_shuffle_partitions_follow_the_input():
+    from tidemark.session import build_session, shuffle_partitions
+
+    assert shuffle_partitions(1 << 20) == 200
+    assert shuffle_partitions(100 << 40) == 819_200
+    with pytest.raises(ValueError, match="input_bytes"):
+        build_session("t", "spark://host:7077")
+
+
+def test_every_kind_of_card_passes_the_filter(spark, tmp_path):
+    """Blank and numeric cards meet the same transactions on the broadcast and the filter path."""
+    for kind, values in (("string", ["", "c"]), ("bigint", [1, 2])):
+        path = str(tmp_path / kind)
+        spark.createDataFrame([(v,) for v in values], f"card_num {kind}").write.parquet(path)
+        stored = spark.read.parquet(path)
+        for limit in (1 << 20, 0):
+            flagged, _ = report.plan_card_join(stored, limit)
+            assert sorted(r.card_num for r in flagged.collect()) == values

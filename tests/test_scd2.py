@@ -252,6 +252,9 @@ def replay(changes, runs):
             if key not in live and last[3] == "N" and last[0] < run:
                 last[1] = run - SECOND
                 versions.append([run, HIGH, last[2], "Y"])
+            elif key in live and last[3] == "Y" and last[0] < run:
+                last[1] = run - SECOND
+                versions.append([run, HIGH, last[2], "N"])
     return history
 
 
@@ -340,3 +343,22 @@ def test_snapshots_match_bookkeeping(spark, days):
     assert got == sorted(
         ((k, *v[:2], v[2], v[3]) for k, vs in expected.items() for v in vs), key=str
     )
+
+
+def test_returned_key_is_reopened(spark, hotness):
+    """Deleted, then among the live keys again with its old change time: live from the run on."""
+    tombstone = opened(spark, ("p", "1", "2", day(5), "Y"), ("q", "1", "2", day(5), "Y"))
+    changes = spark.createDataFrame([("z", "0", "0", day(n)) for n in (1, 2)], CHANGES)
+    live = spark.createDataFrame([("p",), ("z",)], "k string")
+    applied = op.scd2_apply_incremental(tombstone, changes, "k", ["a", "b"], "at", day(9), live)
+    rows = [r for r in collected(applied) if r[0] != "z"]
+    assert rows == sorted(
+        [
+            ("p", "1", "2", day(5), day(9) - SECOND, "Y", "closed"),
+            ("p", "1", "2", day(9), HIGH, "N", "open"),
+            ("q", "1", "2", day(5), HIGH, "Y", "open"),
+        ],
+        key=str,
+    )
+    unknown = op.scd2_apply_incremental(tombstone, changes, "k", ["a", "b"], "at", day(9))
+    assert [r for r in collected(unknown) if r[0] == "p"] == [("p", "1", "2", day(5), HIGH, "Y", "open")]

@@ -9,9 +9,10 @@ from acceptance.workbooks import workbook_bytes
 from feeds import blacklist_drop, terminals_drop, transactions_drop
 from tidemark import schemas
 from tidemark.functions import full_name, normalize_keys, parse_amount, parse_dates, to_iso_text
-from tidemark.operators import append_fact, changed_since, fact_transactions
+from tidemark.operators import append_fact, changed_since, differing_copies, fact_transactions
 from tidemark.plans.load import read_blacklist, read_terminals
 from tidemark.sources import (
+    SINGLE_TASK,
     JdbcSource,
     MissingFeedError,
     WorkbookError,
@@ -21,6 +22,7 @@ from tidemark.sources import (
     read_delimited,
     read_workbook,
     stamp_file_date,
+    write_delimited,
 )
 from tidemark.sources.jdbc import changed_rows_query
 
@@ -175,12 +177,46 @@ def test_change_filter_is_plain_comparisons(spark, tmp_path):
     assert "GreaterThan(update_dt" in pushed and "GreaterThan(create_dt" in pushed
 
 
+def test_corrected_copies_are_told(spark):
+    schema = "trans_id string, trans_date timestamp_ntz, amt int"
+    stored = spark.createDataFrame([("a", D1, 1), (None, D1, 2), ("c", D1, None)], schema)
+    rows = [("a", D1, 1), ("a", D1, 5), (None, D1, 2), ("c", D1, 3), ("d", D1, 4), ("a", D2, 1)]
+    again = spark.createDataFrame(rows, schema)
+    differing = differing_copies(again, stored).collect()
+    assert sorted(r.amt for r in differing) == [3, 5]
+    assert sorted(r.amt for r in append_fact(again, stored).collect()) == [1, 4]
+
+
 def test_jdbc_options():
-    source = JdbcSource("jdbc:x:y", {"driver": "d"}, ("create_dt", "2000-01-01", "2021-01-01", 64))
-    options = source.options("bank.cards")
-    assert options["dbtable"] == "bank.cards" and options["numPartitions"] == "64"
-    assert options["preferTimestampNTZ"] == "true" and options["driver"] == "d"
-    assert "numPartitions" not in JdbcSource("jdbc:x:y").options("t")
+    """Each table is split by its own key, for its changes and for its list of keys."""
+    keys = {"bank.accounts": "account", "bank.cards": "card_num", "bank.clients": "client_id"}
+    ranges = {t: (key, "0", "9", 64) for t, key in keys.items()}
+    source = JdbcSource("jdbc:x:y", {"driver": "d"}, ranges | {"small": SINGLE_TASK})
+    for table, key in keys.items():
+        for query in (None, "(SELECT 1) changed"):
+            options = source.options(table, query)
+            assert options["dbtable"] == (query or table)
+            assert options["partitionColumn"] == key and options["numPartitions"] == "64"
+            assert options["preferTimestampNTZ"] == "true" and options["driver"] == "d"
+    assert "numPartitions" not in source.options("small")
+    with pytest.raises(ValueError, match="say how to split"):
+        source.options("other")
+
+
+def test_quotes_and_backslashes_in_text(spark, tmp_path):
+    """Doubled quotes are one quote, and a backslash is a character like others."""
+    from pyspark.sql import types as T
+
+    texts = ['a "b" c', "x\\", "semi;colon", '"', '\\"', "plain"]
+    schema = T.StructType([T.StructField("n", T.StringType()), T.StructField("t", T.StringType())])
+    drop = tmp_path / "given.txt"
+    lines = ["n;t"] + [f'{i};"' + t.replace('"', '""') + '"' for i, t in enumerate(texts)]
+    drop.write_text("\n".join(lines) + "\n")
+    read = read_delimited(spark, str(drop), schema)
+    assert [r.t for r in sorted(read.collect(), key=lambda r: r.n)] == texts
+    write_delimited(read, str(tmp_path / "written"))
+    again = read_delimited(spark, str(tmp_path / "written"), schema)
+    assert [r.t for r in sorted(again.collect(), key=lambda r: r.n)] == texts
 
 
 def test_jdbc_extract_query():

@@ -3,7 +3,12 @@
 from tidemark.operators.chain import hot_keys, one_row_per, with_first, with_successor
 from tidemark.operators.diff import snapshot_changed, snapshot_deleted, snapshot_new
 from tidemark.operators.dims import dim_as_of, dim_current, dim_first_seen, validate_history
-from tidemark.operators.facts import append_fact, fact_blacklist, fact_transactions
+from tidemark.operators.facts import (
+    append_fact,
+    differing_copies,
+    fact_blacklist,
+    fact_transactions,
+)
 from tidemark.operators.fraud import (
     blacklisted_subjects,
     by_holder_number,
@@ -42,6 +47,7 @@ __all__ = [
     "by_holder_number",
     "changed_since",
     "contract_subjects",
+    "differing_copies",
     "dim_as_of",
     "dim_current",
     "dim_first_seen",

@@ -59,6 +59,19 @@ def fact_blacklist(staged: DataFrame, mark: Moment) -> DataFrame:
     return typed.where(F.col("entry_dt") > ntz(mark))
 
 
+def differing_copies(
+    new_rows: DataFrame,
+    existing: DataFrame,
+    keys: tuple[str, ...] = ("trans_id", "trans_date"),
+) -> DataFrame:
+    """Rows whose keys are stored already, but with other values: corrections that an
+    append leaves out, to be kept aside. Copies equal in all columns are not among them."""
+    stored = existing.select(*[F.col(c).alias(f"_{c}") for c in new_rows.columns])
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    same_row = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in new_rows.columns])
+    return new_rows.join(stored, same_key, "left_semi").join(stored, same_row, "left_anti")
+
+
 def append_fact(
     new_rows: DataFrame,
     existing: DataFrame | None = None,

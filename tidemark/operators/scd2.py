@@ -172,7 +172,8 @@ def scd2_apply_incremental(
     key and time collapse to one. A change at or before the open version's start is
     late, except an exact copy of that version, which a rerun delivers again. With
     ``live_keys``, the full key list of the source, keys no longer in it are closed at
-    ``run_ts`` and get a tombstone.
+    ``run_ts`` and get a tombstone. A deleted key that is in it again, without a newer
+    change, gets a live version from ``run_ts`` with the attributes of its tombstone.
 
     Open versions, changes and live keys meet in one shuffle by key, in which the rows
     of hot keys are divided by month; see ``chain``.
@@ -237,6 +238,9 @@ def scd2_apply_incremental(
     late = ~F.col("_existing") & F.coalesce(start <= open_from, F.lit(False))
     copy = late & F.coalesce(F.col("_copy"), F.lit(False))
     gone = (flag == LIVE) & ~live & (start < run)
+    returned = (
+        F.lit(live_keys is not None) & F.col("_existing") & (flag == DELETED) & live & (start < run)
+    )
 
     result = (
         F.when(late, F.array(_version("", attrs, start, high(), flag, REJECTED)))
@@ -251,6 +255,13 @@ def scd2_apply_incremental(
                 _version("", attrs, run, high(), F.lit(DELETED), OPEN),
             ),
         )
+        .when(
+            returned,
+            F.array(
+                _version("", attrs, start, before(run), flag, CLOSED),
+                _version("", attrs, run, high(), F.lit(LIVE), OPEN),
+            ),
+        )
         .otherwise(F.array(_version("", attrs, start, high(), flag, OPEN)))
     )
     applied = (

@@ -15,8 +15,13 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.clean import change_time, normalize_keys, seconds_only
-from tidemark.functions.times import Moment
-from tidemark.operators.facts import append_fact, fact_blacklist, fact_transactions
+from tidemark.functions.times import Moment, high, ntz
+from tidemark.operators.facts import (
+    append_fact,
+    differing_copies,
+    fact_blacklist,
+    fact_transactions,
+)
 from tidemark.operators.scd2 import scd2_apply_incremental, scd2_apply_snapshot
 from tidemark.operators.watermark import advance_watermark, incremental
 from tidemark.plans.store import Commit, Warehouse
@@ -97,14 +102,19 @@ def load_transactions(
 
     ``read(**options)`` reads the drop. It is read twice: for the times it spans, where
     only the date is parsed, and for the rows. The span bounds the stored part that must
-    be looked through for rows loaded before.
+    be looked through for rows loaded before. A row whose id and time are stored with
+    other values is set aside, not lost.
     """
     times = fact_transactions(read(columnPruning="true")).select("trans_date")
     first, last = times.agg(F.min("trans_date"), F.max("trans_date")).first()
     stored = commit.warehouse.transactions(first, last) if skip_stored else None
     if stored is not None and stored.isEmpty():
         stored = None  # a new day, as on most nights: appended without a shuffle
-    commit.add_transactions(append_fact(fact_transactions(read()), stored))
+    several = first is not None and (first.year, first.month) != (last.year, last.month)
+    commit.add_transactions(append_fact(fact_transactions(read()), stored), months=several)
+    if stored is not None:
+        differing = differing_copies(fact_transactions(read()), stored)
+        commit.add_rejected_transactions(differing)
     marks = commit.warehouse.spark.createDataFrame([(last,)], "last timestamp_ntz")
     return {"transactions": (marks, F.col("last"))}
 
@@ -120,12 +130,20 @@ def load_terminals(commit: Commit, staged: DataFrame, eff_ts: Moment) -> Newest:
     """Apply a full terminal snapshot holding from ``eff_ts``.
 
     A snapshot older than one already applied is not applied: its gaps would delete
-    terminals that came later.
+    terminals that came later. Its rows are set aside among the rejected ones.
     """
     spec = schemas.TERMINALS
     loaded = commit.warehouse.watermark("terminals")
     if eff_ts < loaded:
         log.warning("terminals of %s not applied: those of %s are loaded", eff_ts, loaded)
+        late = normalize_keys(staged.select(spec.key, *spec.attrs), spec.key).withColumns(
+            {
+                "effective_from": ntz(eff_ts),
+                "effective_to": high(),
+                "deleted_flg": F.lit(schemas.LIVE),
+            }
+        )
+        commit.add_rejected("terminals", late)
         return {}
     cleaned = normalize_keys(staged.select(spec.key, *spec.attrs), spec.key)
     snap = commit.stage("terminals", cleaned)

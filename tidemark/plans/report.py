@@ -52,7 +52,7 @@ def plan_card_join(
     if cards > MAX_FILTER_CARDS:
         return flagged, {}
     prefix = "spark.sql.optimizer.runtime.bloomFilter"
-    return flagged.where(F.col("card_num") > ""), {
+    return flagged.where(F.col("card_num").cast("string") >= ""), {
         f"{prefix}.enabled": "true",
         f"{prefix}.creationSideThreshold": str(2 * size + 1),
         f"{prefix}.expectedNumItems": str(cards),

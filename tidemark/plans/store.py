@@ -28,7 +28,11 @@ from tidemark.operators.scd2 import CLOSED, OPEN, REJECTED, STATE
 from tidemark.operators.watermark import seed_watermarks
 from tidemark.sources import files
 
-FACTS = {"transactions": schemas.FACT_TRANSACTIONS, "blacklist": schemas.FACT_BLACKLIST}
+FACTS = {
+    "transactions": schemas.FACT_TRANSACTIONS,
+    "transactions_rejected": schemas.FACT_TRANSACTIONS,
+    "blacklist": schemas.FACT_BLACKLIST,
+}
 MONTH = "trans_month"
 
 
@@ -146,6 +150,13 @@ class Warehouse:
             rows = rows.where(at.isNull() | (at <= ntz(last)))
         return rows.drop(MONTH)
 
+    def rejected_transactions(self) -> DataFrame:
+        """Transactions set aside because their id and time are stored with other values."""
+        parts = self.manifest()["tables"].get("transactions_rejected", {"parts": []})["parts"]
+        return self._read(
+            "transactions_rejected", parts, FACTS["transactions_rejected"], T.StructType([])
+        )
+
     def blacklist(self) -> DataFrame:
         parts = self.manifest()["tables"]["blacklist"]["parts"]
         return self._read("blacklist", parts, FACTS["blacklist"], T.StructType([]))
@@ -243,9 +254,26 @@ class Commit:
             kept = [] if state == OPEN else parts[state]
             parts[state] = kept + ([path] if written else [])
 
-    def add_transactions(self, rows: DataFrame) -> None:
+    def add_rejected(self, name: str, rows: DataFrame) -> None:
+        """Set input of a dimension aside; its open and closed rows stay as they are."""
+        columns = [*schemas.DIMS[name].schema.fieldNames(), STATE]
+        folder = self._write(name, rows.withColumn(STATE, F.lit(REJECTED)).select(*columns), STATE)
+        path = f"{folder}/{STATE}={REJECTED}"
+        if files.exists(self.warehouse.spark, f"{self.warehouse.root}/{path}"):
+            self.next["tables"][name][REJECTED].append(path)
+
+    def add_rejected_transactions(self, rows: DataFrame) -> None:
+        table = "transactions_rejected"
+        folder = self._write(table, rows.select(*FACTS[table].fieldNames()))
+        self.next["tables"].setdefault(table, {"parts": []})["parts"].append(folder)
+
+    def add_transactions(self, rows: DataFrame, months: bool = False) -> None:
+        """Append transactions. ``months``: the load spans several, so its rows are first
+        brought together by month; otherwise every task would write a file to each."""
         rows = rows.select(*FACTS["transactions"].fieldNames())
         dated = rows.withColumn(MONTH, F.trunc("trans_date", "month"))
+        if months:
+            dated = dated.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "trans_date")
         self._add_part("transactions", self._write("transactions", dated, MONTH))
 
     def add_blacklist(self, rows: DataFrame) -> None:

@@ -9,8 +9,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Shuffle sizes are left to AQE: it starts wide, merges small partitions and splits
-# skewed ones, so nothing here depends on the data volume.
+# AQE merges small shuffle partitions and splits skewed ones of joins and rebalances. It
+# never adds partitions to an aggregate or a window, so the number to start from has to
+# follow the data: see ``shuffle_partitions``.
+PARTITION_BYTES = 128 << 20
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,8 +24,27 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the library's defaults; ``conf`` wins over them."""
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions to start a shuffle of the whole input with: about 128 MB each, 200 at least."""
+    return max(200, -(-input_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str = "tidemark",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the library's defaults; ``conf`` wins over them.
+
+    ``input_bytes``, the size of the largest input, sets the number of shuffle partitions.
+    On a cluster either it or ``spark.sql.shuffle.partitions`` must be given.
+    """
+    partitions = "spark.sql.shuffle.partitions"
+    if input_bytes is not None:
+        conf = {partitions: str(shuffle_partitions(input_bytes)), **conf}
+    elif master and not master.startswith("local") and partitions not in conf:
+        raise ValueError(f"give input_bytes or {partitions}")
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -10,10 +10,11 @@ from tidemark.sources.discovery import (
     next_drop,
     stamp_file_date,
 )
-from tidemark.sources.jdbc import JdbcSource, jdbc_incremental, jdbc_table
+from tidemark.sources.jdbc import SINGLE_TASK, JdbcSource, jdbc_incremental, jdbc_table
 from tidemark.sources.workbook import WorkbookError, read_workbook, workbook_rows
 
 __all__ = [
+    "SINGLE_TASK",
     "Drop",
     "JdbcSource",
     "MissingFeedError",

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 FEED_OPTIONS = {
     "sep": ";",
     "header": "true",
+    # a quote inside quoted text is doubled; a backslash is an ordinary character
+    "escape": '"',
     "enforceSchema": "true",
     "mode": "FAILFAST",
     "columnPruning": "false",
@@ -28,4 +30,4 @@ def read_delimited(
 
 def write_delimited(df: DataFrame, path: str) -> None:
     """Write a drop of the text feed."""
-    df.write.options(sep=";", header="true").mode("error").csv(path)
+    df.write.options(sep=";", header="true", escape='"').mode("error").csv(path)

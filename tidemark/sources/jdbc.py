@@ -10,27 +10,39 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import Moment, as_datetime
 
 
+#: In place of ranges: the table is small, one task reads it.
+SINGLE_TASK = "single task"
+
+Ranges = tuple[str, str, str, int]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
-    """Where to read from. ``partition`` splits the read into ranges of one column:
-    ``(column, lower, upper, number)``; choose an indexed, evenly spread one."""
+    """Where to read from. ``partitions`` says for each table how its read is split, into
+    ranges of one column ``(column, lower, upper, number)``; choose an indexed, evenly
+    spread one that every extract of the table carries, such as its key. A table is read
+    by one task only if ``SINGLE_TASK`` says so."""
 
     url: str
     properties: dict[str, str] = field(default_factory=dict)
-    partition: tuple[str, str, str, int] | None = None
+    partitions: dict[str, Ranges | str] = field(default_factory=dict)
     fetchsize: int = 10_000
 
-    def options(self, table: str) -> dict[str, str]:
+    def options(self, table: str, query: str | None = None) -> dict[str, str]:
+        """Options to read a table, or a query on it in brackets."""
+        split = self.partitions.get(table)
+        if split is None:
+            raise ValueError(f"say how to split {table}, or SINGLE_TASK")
         options = {
             **self.properties,
             "url": self.url,
-            "dbtable": table,
+            "dbtable": query or table,
             "fetchsize": str(self.fetchsize),
             # Database dates carry a time to the second and no zone.
             "preferTimestampNTZ": "true",
         }
-        if self.partition:
-            column, lower, upper, number = self.partition
+        if split != SINGLE_TASK:
+            column, lower, upper, number = split
             options |= {
                 "partitionColumn": column,
                 "lowerBound": lower,
@@ -41,11 +53,15 @@ class JdbcSource:
 
 
 def jdbc_table(
-    spark: SparkSession, source: JdbcSource, table: str, columns: list[str]
+    spark: SparkSession,
+    source: JdbcSource,
+    table: str,
+    columns: list[str],
+    query: str | None = None,
 ) -> DataFrame:
-    """Chosen columns of a source table, or of a query in brackets, under the given names
-    whatever case the database reports them in; only they are fetched."""
-    loaded = spark.read.format("jdbc").options(**source.options(table)).load()
+    """Chosen columns of a source table, or of a query on it in brackets, under the given
+    names whatever case the database reports them in; only they are fetched."""
+    loaded = spark.read.format("jdbc").options(**source.options(table, query)).load()
     return loaded.select(*[F.col(c).alias(c) for c in columns])
 
 
@@ -76,4 +92,4 @@ def jdbc_incremental(
 ) -> DataFrame:
     """Rows changed since the mark; the database evaluates the comparison."""
     query = changed_rows_query(table, columns, mark, update_col, create_col)
-    return jdbc_table(spark, source, f"({query}) changed", columns)
+    return jdbc_table(spark, source, table, columns, f"({query}) changed")
