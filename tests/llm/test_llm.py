@@ -434,13 +434,8 @@ def test_prefix_intervals_are_all():
 # Near duplicates.
 
 
-def test_near_duplicates(spark):
-    texts = [t for t in TEXTS]
-    for _ in range(8):
-        other = BODY.split()
-        for at in rng.sample(range(300), rng.choice([1, 2, 12])):
-            other[at] = "new" + rng.choice("abcdef")
-        texts.append(" ".join(other))
+def classes(texts):
+    """The smallest index of each text's class, by all pairs."""
     grams = [brute.shingles(t) for t in texts]
     size = [sum(g.values()) for g in grams]
     root = list(range(len(texts)))
@@ -450,12 +445,38 @@ def test_near_duplicates(spark):
             if texts[a] == texts[b] or size[a] == size[b] == 0 or common and common / (size[a] + size[b] - common) >= 0.8:
                 low, high = sorted((root[a], root[b]))
                 root = [low if r == high else r for r in root]
+    return root
+
+
+def test_near_duplicates(spark):
+    texts = [t for t in TEXTS]
+    for _ in range(8):
+        other = BODY.split()
+        for at in rng.sample(range(300), rng.choice([1, 2, 12])):
+            other[at] = "new" + rng.choice("abcdef")
+        texts.append(" ".join(other))
+    root = classes(texts)
     found = neardup.near_duplicates(frame(spark, texts)).where("doc_id is not null")
     got = {r["doc_id"]: r for r in found.collect()}
     assert {i: got[i]["class_id"] for i in got} == dict(enumerate(root))
     assert {i for i in got if got[i]["chosen"]} == set(root)
 
 
+def test_no_class_is_lost_in_a_large_bucket(spark):
+    passage, texts = prose(80).split(), []
+    for _ in range(40):  # a shared passage, changed so often that some pairs are linked and others not
+        other = list(passage)
+        for at in rng.sample(range(80), rng.choice([1, 2, 3, 4])):
+            other[at] = prose(1)
+        texts.append(" ".join(other))
+    texts += [f"{prose(40)} {' '.join(passage)} {prose(40)}" for _ in range(10)]
+    root = classes(texts)
+    assert 10 < len(set(root)) < 50
+    for leaders in (1, 8):
+        found = neardup.near_duplicates(frame(spark, texts), leaders=leaders).where("doc_id is not null")
+        assert {r["doc_id"]: r["class_id"] for r in found.collect()} == dict(enumerate(root))
+
+
 def test_alignment_keeps_order():
     a = np.arange(100, dtype=np.uint32)
     assert neardup.aligned(a, a, 0.8) == 100

@@ -7,9 +7,15 @@ same order. Two texts of similarity 0.8 agree in about half of all sketches and
 but for about three in a hundred million.
 
 Texts with equal words are one candidate (their copies join its class). Texts that agree in a
-sketch form a bucket. No bucket is expanded into all its pairs: each member is compared with the
-bucket's leaders, which are the members that agree with the most texts in all sketches. The first
-leader comes first; the others are then compared only where the classes found so far differ.
+sketch form a bucket. No bucket is expanded into all its pairs: first all members meet one leader,
+the member that agrees with the most texts in all sketches. A bucket whose other members are then
+one class is done, as no pair of them can join two classes.
+
+The texts of the other buckets, such as those that share a passage but little else, are put into
+new buckets by their rarest k-mers, so many of each that two texts without a common one cannot be
+similar. These are worked off in rounds: members of the smallest classes lead, twice as many in each
+round, and meet the members of other classes; who has led leaves the bucket. The rounds end when no
+bucket holds two classes, so no pair that could join two classes is left out.
 
 A pair is a link if the aligned k-mers, over all k-mers of both, are at least `threshold`. The
 alignment is the longest common subsequence of the two k-mer sequences within the band that a pair
@@ -29,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import checkpointed, components
+from tidemark.llm.components import checkpointed, components, stored
 from tidemark.llm.words import Words, chunks, gram_hash, keyed, mix, powers, signed, split_words
 
 K = 5
 SKETCHES, MINIMA = 24, 3
+#: Leaders of a bucket of rare k-mers in the first round; each later round has twice as many.
 LEADERS = 8
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Odd multipliers of the hash functions.
@@ -129,6 +136,20 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _labelled_kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n_kmers, grams): the labelled k-mers of each text."""
+    for batch in batches:
+        for chunk in chunks(batch.column("text")):
+            n = chunk.last - chunk.first
+            grams, bounds = kmers(split_words(chunk), n)
+            unique = labelled(grams, np.repeat(np.arange(n), np.diff(bounds)))
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), signed(unique))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_key").slice(chunk.first, n), pa.array(np.diff(bounds).astype(np.int64)), lists],
+                ["node", "n_kmers", "grams"],
+            )
+
+
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row_key, kmers): the k-mers of each text in order, 32 bits each."""
     for batch in batches:
@@ -143,19 +164,26 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """K-mers that both have, in any order; no alignment has more."""
+    va, na = np.unique(a, return_counts=True)
+    vb, nb = np.unique(b, return_counts=True)
+    _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    return int(np.minimum(na[ia], nb[ib]).sum())
+
+
+def needed(n: int, threshold: float) -> int:
+    """K-mers that two texts of n k-mers in all must align to be linked."""
+    return int(np.ceil(threshold * n / (1 + threshold) - 1e-9))
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> int:
     """Length of the longest common subsequence within the band, or 0 if the threshold is out of reach.
 
     Equal ends are taken off; the rest is aligned row by row in bit vectors of one bit a column.
     """
-    need = int(np.ceil(threshold * (len(a) + len(b)) / (1 + threshold) - 1e-9))
-    if need > min(len(a), len(b)):
-        return 0
-    # what both have at all bounds what can be aligned
-    va, na = np.unique(a, return_counts=True)
-    vb, nb = np.unique(b, return_counts=True)
-    both, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
-    if not len(both) or int(np.minimum(na[ia], nb[ib]).sum()) < need:
+    need = needed(len(a) + len(b), threshold)
+    if not need or shared(a, b) < need:
         return 0
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
@@ -189,31 +217,77 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> int:
 def _verified(threshold: float):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, values = [], []
+            linked = []
             first, second = batch.column("ka"), batch.column("kb")
             for i in range(batch.num_rows):
                 a = np.frombuffer(first[i].as_py(), "<u4")
                 b = np.frombuffer(second[i].as_py(), "<u4")
-                common = aligned(a, b, threshold)
-                value = common / max(1, len(a) + len(b) - common)
-                if common and value >= threshold - 1e-12:
-                    keep.append(i)
-                    values.append(value)
-            at = pa.array(keep, pa.int64())
+                linked.append(0 < needed(len(a) + len(b), threshold) <= aligned(a, b, threshold))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a").take(at), batch.column("b").take(at), pa.array(values, pa.float64())],
-                ["a", "b", "similarity"],
+                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
             )
 
     return rows
 
 
-def _links(pairs: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a, b, similarity)."""
+def _compare(pairs: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, linked) of each pair."""
     left = sequences.select(F.col("row_key").alias("a"), F.col("kmers").alias("ka"))
     right = sequences.select(F.col("row_key").alias("b"), F.col("kmers").alias("kb"))
     loaded = pairs.join(left, "a").join(right, "b").select("a", "b", "ka", "kb")
-    return loaded.mapInArrow(_verified(threshold), "a long, b long, similarity double")
+    return loaded.mapInArrow(_verified(threshold), "a long, b long, linked boolean")
+
+
+def _leading(members: DataFrame, count: int) -> DataFrame:
+    """The next leaders of each bucket: of the smallest classes, then of the highest degrees."""
+    order = Window.partitionBy("bucket").orderBy("n_class", F.desc("degree"), "node")
+    ranked = members.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+    return ranked.select("bucket", *(F.col(c).alias(f"lead_{c}") for c in ("node", "n_kmers", "pos", "root")))
+
+
+def _pairs(members: DataFrame, leading: DataFrame, threshold: float) -> DataFrame:
+    """Members with the leaders of their buckets, each pair once, without those of one class and those
+    that cannot link. A pair that can has, from its first common k-mer on, all it needs to share."""
+    met = members.join(leading, "bucket").where(F.col("root") != F.col("lead_root"))
+    need = F.ceil((F.col("n_kmers") + F.col("lead_n_kmers")) * (threshold / (1 + threshold)) - 1e-9)
+    left = F.least(F.col("n_kmers") - F.col("pos"), F.col("lead_n_kmers") - F.col("lead_pos"))
+    met = met.where(left >= need)
+    return met.select(F.least("node", "lead_node").alias("a"), F.greatest("node", "lead_node").alias("b")).distinct()
+
+
+def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several classes, with root and the size of the class there."""
+    at = members.select("bucket", "node", "n_kmers", "pos", "degree").join(roots, "node", "left")
+    at = at.withColumn("root", F.coalesce("root", "node"))
+    classes = at.groupBy("bucket", "root").agg(F.count("*").alias("n_class"))
+    several = classes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return at.join(several, "bucket", "left_semi").join(classes, ["bucket", "root"])
+
+
+def _by_rare_kmers(docs: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, node, n_kmers, pos, degree): a bucket holds the texts that have a k-mer among their rarest.
+
+    Of n k-mers, two similar texts share at least `threshold` * n. In any common order, so, they share
+    one of the first n - threshold * n + 1. K-mers of one text alone come first and need no bucket.
+    pos: how many k-mers of the text come before.
+    """
+    every = docs.select("row_key", "text").mapInArrow(_labelled_kmers, "node long, n_kmers long, grams array<long>")
+    every = every.select("node", "n_kmers", F.explode("grams").alias("bucket"))
+    # written, so that the join shuffles both sides and very frequent k-mers can be split
+    shared = stored(every.groupBy("bucket").agg(F.count("*").alias("n_texts")).where("n_texts > 1"))
+    of_text = every.join(shared, "bucket").groupBy("node", "n_kmers")
+    ordered = of_text.agg(F.array_sort(F.collect_list(F.struct("n_texts", "bucket"))).alias("grams"))
+    first = F.col("n_kmers") - F.ceil(F.col("n_kmers") * threshold - 1e-9) + 1
+    alone = F.col("n_kmers") - F.size("grams")
+    taken = F.slice("grams", F.lit(1), F.greatest(first - alone, F.lit(0)).cast("int"))
+    placed = ordered.select("node", "n_kmers", alone.alias("alone"), F.posexplode(taken).alias("i", "gram"))
+    return placed.select(
+        F.col("gram.bucket").alias("bucket"),
+        "node",
+        "n_kmers",
+        (F.col("alone") + F.col("i")).alias("pos"),
+        F.lit(0).cast("long").alias("degree"),
+    )
 
 
 def near_duplicates(
@@ -227,7 +301,7 @@ def near_duplicates(
     """One row per document: doc_id, kept columns, class_id, n_links, chosen.
 
     class_id: the smallest id of the class. n_links: verified links of the document's words to other
-    words. chosen: true for exactly one document of a class, of its smallest id.
+    words; pairs within a class that earlier links already join are not compared. chosen: true for exactly one document of a class, of its smallest id.
     """
     docs = keyed(df, id_col, text_col)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -242,38 +316,33 @@ def near_duplicates(
     sizes = agree.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = agree.join(sizes, "bucket")
     degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
-    members = checkpointed(members.select("bucket", "node", "n_kmers").join(degrees, "node"))
-    order = Window.partitionBy("bucket").orderBy(F.desc("degree"), "node")
-    first = members.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)
-    lead = checkpointed(
-        first.select("bucket", F.col("node").alias("leader"), F.col("n_kmers").alias("n_leader"), "rank")
+    members = stored(
+        members.select("bucket", "node", "n_kmers")
+        .join(degrees, "node")
+        .withColumns({"root": F.col("node"), "n_class": F.lit(1).cast("long"), "pos": F.lit(0).cast("long")})
     )
-
-    def pairs(leading: DataFrame) -> DataFrame:
-        """Members with the leaders of their buckets, each pair once; sizes that cannot agree are left out."""
-        met = members.join(leading, "bucket").where(F.col("node") != F.col("leader"))
-        low, high = F.least("n_kmers", "n_leader"), F.greatest("n_kmers", "n_leader")
-        met = met.where(low >= high * threshold)
-        return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-    needed = members.select("node").distinct()
-    wanted = docs.join(needed, docs.row_key == needed.node, "left_semi")
+    wanted = docs.join(members.select("node").distinct(), F.col("row_key") == F.col("node"), "left_semi")
     sequences = checkpointed(wanted.select("row_key", "text").mapInArrow(_sequences, "row_key long, kmers binary"))
-    tested = checkpointed(pairs(lead.where("rank = 1")))
-    links = checkpointed(_links(tested, sequences, threshold))
-    roots = components(links)
-    more = pairs(lead.where("rank > 1"))
-    at_a = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    at_b = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    more = (
-        more.join(at_a, "a", "left")
-        .join(at_b, "b", "left")
-        .where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-        .select("a", "b")
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    links = checkpointed(links.union(_links(more, sequences, threshold)))
+
+    leading = stored(_leading(members, 1))
+    found = stored(_compare(_pairs(members, leading, threshold), sequences, threshold))
+    tested, links = found.select("a", "b"), found.where("linked").select("a", "b")
     roots = components(links)
+    led = leading.select("bucket", F.col("lead_node").alias("node"))
+    open_texts = stored(_undecided(members.join(led, ["bucket", "node"], "left_anti"), roots).select("node").distinct())
+    rare = _by_rare_kmers(docs.join(open_texts, F.col("row_key") == F.col("node"), "left_semi"), threshold)
+    members, count = stored(_undecided(rare, roots)), leaders
+    while not members.isEmpty():
+        leading = stored(_leading(members, count))
+        new = _pairs(members, leading, threshold).join(tested, ["a", "b"], "left_anti")
+        found = stored(_compare(new, sequences, threshold))
+        more = found.where("linked").select("a", "b")
+        tested, count = tested.union(found.select("a", "b")), 2 * count
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(links)
+        led = leading.select("bucket", F.col("lead_node").alias("node"))
+        members = stored(_undecided(members.join(led, ["bucket", "node"], "left_anti"), roots))
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     label = texts.select("t1", "t2", "node").join(roots, "node", "left").join(degree, "node", "left")
