@@ -13,8 +13,8 @@ one class is done, as no pair of them can join two classes.
 
 The texts of the other buckets, such as those that share a passage but little else, are put into
 new buckets by their rarest k-mers, so many of each that two texts without a common one cannot be
-similar. These are worked off in rounds: members of the smallest classes lead, twice as many in each
-round, and meet the members of other classes; who has led leaves the bucket. The rounds end when no
+similar. These are worked off in rounds: members of the smallest classes lead, four times as many in
+each round, and meet the members of other classes; who has led leaves the bucket. The rounds end when no
 bucket holds two classes, so no pair that could join two classes is left out.
 
 A pair is a link if the aligned k-mers, over all k-mers of both, are at least `threshold`. The
@@ -40,7 +40,7 @@ from tidemark.llm.words import Words, chunks, gram_hash, keyed, mix, powers, sig
 
 K = 5
 SKETCHES, MINIMA = 24, 3
-#: Leaders of a bucket of rare k-mers in the first round; each later round has twice as many.
+#: Leaders of a bucket of rare k-mers in the first round; each later round has four times as many.
 LEADERS = 8
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Odd multipliers of the hash functions.
@@ -264,6 +264,13 @@ def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
     return at.join(several, "bucket", "left_semi").join(classes, ["bucket", "root"])
 
 
+def _able(members: DataFrame, threshold: float) -> DataFrame:
+    """Members that may link even with the shortest text of their bucket, which asks the least of them."""
+    shortest = members.groupBy("bucket").agg(F.min("n_kmers").alias("least"))
+    least = F.ceil((F.col("n_kmers") + F.col("least")) * (threshold / (1 + threshold)) - 1e-9)
+    return members.join(shortest, "bucket").where(F.col("n_kmers") - F.col("pos") >= least).drop("least")
+
+
 def _by_rare_kmers(docs: DataFrame, threshold: float) -> DataFrame:
     """(bucket, node, n_kmers, pos, degree): a bucket holds the texts that have a k-mer among their rarest.
 
@@ -331,13 +338,13 @@ def near_duplicates(
     led = leading.select("bucket", F.col("lead_node").alias("node"))
     open_texts = stored(_undecided(members.join(led, ["bucket", "node"], "left_anti"), roots).select("node").distinct())
     rare = _by_rare_kmers(docs.join(open_texts, F.col("row_key") == F.col("node"), "left_semi"), threshold)
-    members, count = stored(_undecided(rare, roots)), leaders
+    members, count = stored(_undecided(_able(stored(rare), threshold), roots)), leaders
     while not members.isEmpty():
         leading = stored(_leading(members, count))
         new = _pairs(members, leading, threshold).join(tested, ["a", "b"], "left_anti")
         found = stored(_compare(new, sequences, threshold))
         more = found.where("linked").select("a", "b")
-        tested, count = tested.union(found.select("a", "b")), 2 * count
+        tested, count = tested.union(found.select("a", "b")), 4 * count
         if not more.isEmpty():
             links = links.union(more)
             roots = components(links)
