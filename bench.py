@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -53,18 +54,20 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(
-        "bench",
-        f"local[{cpus}]",
-        **{
-            "spark.sql.shuffle.partitions": cpus,
-            "spark.ui.enabled": "false",
-            "spark.driver.memory": "12g",
-        },
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    times = {n: round(min(seconds(spark, n, folder) for _ in range(runs)), 3) for n in names}
-    spark.stop()
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        spark = build_session(
+            "bench",
+            f"local[{cpus}]",
+            **{
+                "spark.sql.shuffle.partitions": cpus,
+                "spark.ui.enabled": "false",
+                "spark.driver.memory": "12g",
+                "spark.checkpoint.dir": shared,
+            },
+        )
+        spark.sparkContext.setLogLevel("ERROR")
+        times = {n: round(min(seconds(spark, n, folder) for _ in range(runs)), 3) for n in names}
+        spark.stop()
     found = re.search(r"sf([0-9.]+)", folder)
     result = {
         "metric": "total_seconds",
