@@ -477,6 +477,17 @@ def test_no_class_is_lost_in_a_large_bucket(spark):
         assert {r["doc_id"]: r["class_id"] for r in found.collect()} == dict(enumerate(root))
 
 
+@pytest.mark.parametrize("bits", [6, 9, neardup.FILTER_BITS])
+def test_texts_of_nodes_are_exact(spark, monkeypatch, bits):
+    monkeypatch.setattr(neardup, "FILTER_BITS", bits)
+    docs = spark.range(2000).select(F.col("id").alias("row_key"), F.concat(F.lit("t"), "id").alias("text"))
+    for step in (7, 500, 3000):  # with 64 or 512 bits other texts pass the filter as well
+        nodes = spark.range(1, 2000, step).withColumnRenamed("id", "node")
+        got = neardup._texts_of(docs, nodes).collect()
+        assert sorted((r["row_key"], r["text"]) for r in got) == [(i, f"t{i}") for i in range(1, 2000, step)]
+    assert neardup._texts_of(docs, spark.range(0).withColumnRenamed("id", "node")).isEmpty()
+
+
 def test_alignment_keeps_order():
     a = np.arange(100, dtype=np.uint32)
     assert neardup.aligned(a, a, 0.8) == 100

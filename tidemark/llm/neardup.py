@@ -42,6 +42,8 @@ K = 5
 SKETCHES, MINIMA = 24, 3
 #: Leaders of a bucket of rare k-mers in the first round; each later round has four times as many.
 LEADERS = 8
+#: Bits of the filter that texts pass before they are shuffled, as a power of two: at most 2**20 rows of 64 bits.
+FILTER_BITS = 26
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Odd multipliers of the hash functions.
 _FUNCTIONS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -230,6 +232,22 @@ def _verified(threshold: float):
     return rows
 
 
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of docs whose row_key is among nodes.
+
+    A bit is set for the hash of every node. The bits, 8 MB whatever the number of nodes, are broadcast
+    as 64-bit words, so few other texts reach the shuffle of the exact join that follows; with far more
+    than 2**FILTER_BITS nodes all texts do.
+    """
+    place = F.xxhash64("row_key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    marks = nodes.select(F.col("node").alias("row_key")).withColumn("place", place)
+    words = marks.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    placed = docs.select("row_key", "text").withColumn("place", place).withColumn("word", F.shiftright("place", 6))
+    passed = placed.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+    return passed.select("row_key", "text").join(nodes, F.col("row_key") == F.col("node"), "left_semi")
+
+
 def _compare(pairs: DataFrame, sequences: DataFrame, threshold: float) -> DataFrame:
     """(a, b, linked) of each pair."""
     left = sequences.select(F.col("row_key").alias("a"), F.col("kmers").alias("ka"))
@@ -328,8 +346,8 @@ def near_duplicates(
         .join(degrees, "node")
         .withColumns({"root": F.col("node"), "n_class": F.lit(1).cast("long"), "pos": F.lit(0).cast("long")})
     )
-    wanted = docs.join(members.select("node").distinct(), F.col("row_key") == F.col("node"), "left_semi")
-    sequences = checkpointed(wanted.select("row_key", "text").mapInArrow(_sequences, "row_key long, kmers binary"))
+    wanted = stored(_texts_of(docs, stored(members.select("node").distinct())))
+    sequences = checkpointed(wanted.mapInArrow(_sequences, "row_key long, kmers binary"))
 
     leading = stored(_leading(members, 1))
     found = stored(_compare(_pairs(members, leading, threshold), sequences, threshold))
@@ -337,7 +355,7 @@ def near_duplicates(
     roots = components(links)
     led = leading.select("bucket", F.col("lead_node").alias("node"))
     open_texts = stored(_undecided(members.join(led, ["bucket", "node"], "left_anti"), roots).select("node").distinct())
-    rare = _by_rare_kmers(docs.join(open_texts, F.col("row_key") == F.col("node"), "left_semi"), threshold)
+    rare = _by_rare_kmers(wanted.join(open_texts, F.col("row_key") == F.col("node"), "left_semi"), threshold)
     members, count = stored(_undecided(_able(stored(rare), threshold), roots)), leaders
     while not members.isEmpty():
         leading = stored(_leading(members, count))
