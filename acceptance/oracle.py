@@ -86,7 +86,8 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     "parse_dates": (
         "",
         """
-        SELECT o_orderkey, strptime(strftime(o_orderdate, '%d.%m.%Y'), '%d.%m.%Y') AS dt
+        SELECT o_orderkey, strptime(strftime(o_orderdate, '%d.%m.%Y'), '%d.%m.%Y') AS dt,
+        strftime(o_orderdate, '%Y-%m-%d') AS iso
         FROM orders
         """,
     ),
@@ -289,6 +290,14 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         GROUP BY ALL)
         """,
     ),
+    "dim_first_seen_hot": (
+        "",
+        """
+        SELECT l_orderkey, l_linenumber, flag, l_shipdate,
+        min(l_shipdate) OVER (PARTITION BY flag) AS first_seen
+        FROM (SELECT *, CASE WHEN l_returnflag <> 'A' THEN l_returnflag END AS flag FROM lineitem)
+        """,
+    ),
     "fact_transactions_load": (
         "",
         """

@@ -15,7 +15,12 @@ from acceptance.relations import REPORT_TS, Sample
 from acceptance.workbooks import workbook_bytes
 from tidemark import operators as op
 from tidemark.functions import change_time, full_name, normalize_keys, parse_amount, parse_dates
-from tidemark.functions.clean import DAY_PATTERN, DOTTED_DAY_PATTERN, SECOND_PATTERN
+from tidemark.functions.clean import (
+    DAY_PATTERN,
+    DOTTED_DAY_PATTERN,
+    SECOND_PATTERN,
+    to_iso_text,
+)
 from tidemark.plans import FrameBank, Warehouse, run_report
 from tidemark.plans.load import (
     load_bank_table,
@@ -139,8 +144,9 @@ def _normalize_keys(s: Sample) -> DataFrame:
 @query("parse_dates")
 def _parse_dates(s: Sample) -> DataFrame:
     dotted = F.date_format("o_orderdate", DOTTED_DAY_PATTERN)
+    parsed = parse_dates(dotted, DOTTED_DAY_PATTERN)
     return s.table("orders").select(
-        "o_orderkey", parse_dates(dotted, DOTTED_DAY_PATTERN).alias("dt")
+        "o_orderkey", parsed.alias("dt"), to_iso_text(parsed).alias("iso")
     )
 
 
@@ -265,6 +271,16 @@ def _dim_first_seen(s: Sample) -> DataFrame:
     return op.dim_first_seen(s.acct_versions(), "account_num", "change_ts").drop("status")
 
 
+@query("dim_first_seen_hot")
+def _dim_first_seen_hot(s: Sample) -> DataFrame:
+    """Shipments by return flag, a third or more of all rows each; some have none."""
+    flag = F.when(F.col("l_returnflag") != "A", F.col("l_returnflag"))
+    rows = s.table("lineitem").select(
+        "l_orderkey", "l_linenumber", flag.alias("flag"), "l_shipdate"
+    )
+    return op.dim_first_seen(rows, "flag", "l_shipdate", hot_rows=1_000)
+
+
 @query("validate_history")
 def _validate_history(s: Sample) -> DataFrame:
     """Orders as versions that last a month each: they overlap, and leave gaps."""

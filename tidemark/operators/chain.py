@@ -23,13 +23,21 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(rows: DataFrame, key: str) -> DataFrame | None:
-    """The hot keys of ``rows``, small enough to broadcast, or None if no key is hot."""
+def hot_keys(
+    rows: DataFrame, key: str, hot_rows: int | None = None, nulls: bool = False
+) -> DataFrame | None:
+    """The hot keys of ``rows``, small enough to broadcast, or None if no key is hot.
+
+    ``hot_rows`` takes the place of ``HOT_ROWS``. ``nulls``: NULL can be a hot key too.
+    """
+    at_least = HOT_ROWS if hot_rows is None else hot_rows
     total = rows.count()
-    if total <= HOT_ROWS:
+    if total <= at_least:
         return None
-    limit = max(HOT_ROWS, total / MAX_HOT_KEYS)
-    found = rows.groupBy(key).count().where(F.col(key).isNotNull() & (F.col("count") > limit))
+    limit = max(at_least, total / MAX_HOT_KEYS)
+    found = rows.groupBy(key).count().where(F.col("count") > limit)
+    if not nulls:
+        found = found.where(F.col(key).isNotNull())
     hot = found.select(key).collect()
     return F.broadcast(rows.sparkSession.createDataFrame(hot, found.schema[:1])) if hot else None
 
@@ -80,17 +88,21 @@ def with_successor(
     )
 
 
-def with_first(rows: DataFrame, key: str, start: str, out: str) -> DataFrame:
-    """Add the smallest ``start`` of the key. Rows of hot keys are not grouped at all:
-    the minima of these few keys are broadcast to them."""
-    hot, first = hot_keys(rows, key), F.min(start)
+def with_first(
+    rows: DataFrame, key: str, start: str, out: str, hot_rows: int | None = None
+) -> DataFrame:
+    """Add the smallest ``start`` of the key. Rows of hot keys, and of a missing key if
+    they are as many, are not grouped at all: the minima of these few keys are broadcast
+    to them."""
+    hot, first = hot_keys(rows, key, hot_rows, nulls=True), F.min(start)
     of_key = first.over(Window.partitionBy(key))
     if hot is None:
         return rows.withColumn(out, of_key)
-    hot_rows = rows.join(hot, key)
-    minima = F.broadcast(hot_rows.groupBy(key).agg(first.alias(out)))
-    others = rows.join(hot, key, "left_anti").withColumn(out, of_key)
-    return hot_rows.join(minima, key).select(*rows.columns, out).unionByName(others)
+    hot = F.broadcast(hot.withColumnRenamed(key, "_hot_key"))
+    same = F.col(key).eqNullSafe(F.col("_hot_key"))
+    minima = F.broadcast(rows.join(hot, same).groupBy("_hot_key").agg(first.alias(out)))
+    others = rows.join(hot, same, "left_anti").withColumn(out, of_key)
+    return rows.join(minima, same).select(*rows.columns, out).unionByName(others)
 
 
 def one_row_per(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

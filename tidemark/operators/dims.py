@@ -34,14 +34,18 @@ def dim_as_of(history: DataFrame, moment: Moment) -> DataFrame:
 
 
 def dim_first_seen(
-    history: DataFrame, key: str, start: str = "effective_from", out: str = "first_seen"
+    history: DataFrame,
+    key: str,
+    start: str = "effective_from",
+    out: str = "first_seen",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add when each key was first seen: the running minimum of ``start``.
 
     Taken over all versions of the key. In start order the running minimum is the
-    minimum itself.
+    minimum itself. ``hot_rows``: how many rows make a key hot, see ``chain``.
     """
-    return with_first(history, key, start, out)
+    return with_first(history, key, start, out, hot_rows)
 
 
 def validate_history(history: DataFrame, key: str) -> DataFrame:
