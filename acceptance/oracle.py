@@ -72,7 +72,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         "",
         """
         SELECT o_orderkey AS transaction_id, o_orderdate AS trans_date, CAST(o_totalprice AS
-        DECIMAL(18,2)) AS amt
+        DECIMAL(18,2)) AS amt, '"' || o_orderstatus || '" ' || chr(92) || '; "x' || chr(92) AS note
         FROM orders
         """,
     ),

@@ -73,15 +73,17 @@ def _src_delimited(s: Sample) -> DataFrame:
         F.col("o_orderkey").alias("id"),
         F.date_format("o_orderdate", SECOND_PATTERN).alias("date"),
         _decimal_comma("o_totalprice").alias("amount"),
+        F.concat(F.lit('"'), "o_orderstatus", F.lit('" \\; "x\\')).alias("note"),
     )
     write_delimited(drop, path)
     staged = read_delimited(
-        s.spark, path, _text_schema("transaction_id", "transaction_date", "amount")
+        s.spark, path, _text_schema("transaction_id", "transaction_date", "amount", "note")
     )
     return staged.select(
         F.col("transaction_id").cast("bigint").alias("transaction_id"),
         parse_dates(F.col("transaction_date"), SECOND_PATTERN).alias("trans_date"),
         parse_amount(F.col("amount")).alias("amt"),
+        "note",
     )
 
 
