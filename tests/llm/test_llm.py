@@ -400,6 +400,22 @@ def test_copies_are_not_boilerplate(spark):
     assert {got[i] for i in range(15)} == {(text, 0)}
 
 
+def test_long_and_unspaced_lines_recur(spark):
+    passage, menu, tabs = prose(60), "首页关于我们联系方式", "Home\tAbout\u00a0us"
+    texts = [f"{prose(60)}\n{passage}\n{prose(60)}" for _ in range(4)]
+    texts += [f"{prose(40)}\n{menu}\n{prose(30)}\n{tabs}" for _ in range(10)]
+    # copies count once, exact or with an edit
+    copied = [prose(60) for _ in range(6)]
+    texts += ["\n".join(copied)] * 4 + ["\n".join([*copied[:i], prose(60), *copied[i + 1 :]]) for i in range(4)]
+    got = by_id(templates.drop_recurring(frame(spark, texts)), "text", "n_dropped")
+    for i in range(4):
+        assert got[i] == (texts[i].replace(passage + "\n", ""), 1)
+    for i in range(4, 14):
+        assert got[i] == (texts[i].replace(menu + "\n", "").replace("\n" + tabs, ""), 2)
+    for i in range(14, len(texts)):
+        assert got[i] == (texts[i], 0)
+
+
 # Repeats.
 
 

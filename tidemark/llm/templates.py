@@ -1,21 +1,27 @@
-"""Line deduplication by a tree of log templates.
+"""Line deduplication by equal lines and a tree of log templates.
 
-Every line is parsed to a fixed depth: its number of tokens (what single spaces part), then its leading tokens, with tokens
-that hold a digit taken as variable. Lines of one leaf are generalised together: a token stays in
-the template where at least `min_docs` documents have it at that place, and becomes a variable
-where it does not. A template that at least `min_docs` documents share, and of whose tokens at
-least half stay, is boilerplate: its lines are dropped.
+A line is what its tokens are: the runs between white space of any kind. Recurrence is counted in
+distinct texts: documents of equal tokens count once. A line is boilerplate, and dropped, if
+
+- the equal line stands in at least `min_docs` texts, whatever its number of tokens;
+- it is long (LONG_TOKENS tokens or LONG_BYTES bytes) and stands in at least `long_docs` texts of which at
+  least OWN of the bytes are in lines of no other text, so that copies with edits do not count; or
+- its template recurs. Lines are parsed to a fixed depth: their number of tokens, then their leading
+  tokens, with tokens that hold a digit taken as variable. Lines of one leaf are generalised
+  together: a token stays in the template where at least `min_docs` texts have it at that place, and
+  becomes a variable where it does not. The template counts if at least `min_docs` texts share it
+  and at least half of its tokens stay. It needs `min_tokens` tokens.
+
+Lines that differ in variables only, and keep half of their tokens, are equal in all three.
 
 A document most of whose words are in such lines is a copy of others rather than a bearer of
 boilerplate; it stays whole, for the stage that removes copies.
 
-Only leaves that recur are looked at beyond their hash, and equal lines are counted before they
-meet, so a very common line is one row. Sets of leaves and lines are broadcast up to
-BROADCAST_ROWS hashes, and joined by a shuffle beyond.
+Sets of leaves and lines are broadcast up to BROADCAST_ROWS hashes, and joined by a shuffle beyond.
 
-Defined results: null text stays null; empty lines and lines of fewer than `min_tokens` tokens are
-never dropped; equal rows are cleaned each; an empty table gives an empty result; of other columns
-only those in `keep` are returned.
+Defined results: null text stays null; lines without a letter or digit are never dropped and are
+not something left; equal rows are cleaned each; an empty table gives an empty result; of other
+columns only those in `keep` are returned.
 """
 
 from __future__ import annotations
@@ -30,19 +36,45 @@ BROADCAST_ROWS = 100_000
 #: Leading tokens in the key of a leaf.
 DEPTH = 3
 VARIABLE = "<*>"
+#: A line of so many tokens, or bytes where a script has no spaces, is long.
+LONG_TOKENS, LONG_BYTES = 50, 300
+#: Share of its own that a text needs to count for a long line; with less, it is a near copy of another.
+OWN = 0.2
+SPACE = r"[\s\x{85}\p{Z}]+"
+WORD = r"[\p{L}\p{N}]"
+
+
+def _tokens(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def _masked(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(t))
 
 
-def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
-    """(row_key, pos, tokens, leaf) of every line that may be boilerplate."""
-    lines = docs.select("row_key", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
-    parsed = lines.select("row_key", "pos", F.split(F.trim("line"), " ").alias("tokens"))
-    parsed = parsed.where(F.size("tokens") >= min_tokens)
-    leading = _masked(F.slice("tokens", 1, DEPTH))
-    return parsed.withColumn("leaf", F.xxhash64(F.size("tokens"), leading))
+def _lines(docs: DataFrame, min_tokens: int, constant: float) -> DataFrame:
+    """(row_key, content, pos, n, size, masked, leaf, line) of every line with a letter or digit.
+
+    content is the hash of the tokens of the whole text; line that of the masked tokens, or of the
+    tokens as they are if too few stay; leaf is null for lines that no template is made of.
+    """
+    lines = docs.select(
+        "row_key", F.xxhash64(_tokens(F.col("text"))).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line")
+    ).where(F.col("line").rlike(WORD))
+    parsed = lines.select("row_key", "content", "pos", F.octet_length("line").alias("size"), _tokens(F.col("line")).alias("tokens"))
+    parsed = parsed.withColumn("masked", _masked(F.col("tokens"))).withColumn("n", F.size("tokens"))
+    stay = F.size(F.array_remove("masked", VARIABLE))
+    whole = (F.col("n") >= min_tokens) & (stay >= F.col("n") * constant)
+    return parsed.select(
+        "row_key",
+        "content",
+        "pos",
+        "n",
+        "size",
+        "masked",
+        F.when(F.col("n") >= min_tokens, F.xxhash64("n", F.slice("masked", 1, DEPTH))).alias("leaf"),
+        F.when(whole, F.xxhash64("masked")).otherwise(F.xxhash64("tokens")).alias("line"),
+    )
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -51,18 +83,33 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _recurring_leaves(lines: DataFrame, min_docs: int) -> DataFrame:
-    once = lines.groupBy("leaf", "row_key").agg(F.lit(1).alias("one"))
+def _recurring_leaves(seen: DataFrame, min_docs: int) -> DataFrame:
+    once = seen.where(F.col("leaf").isNotNull()).groupBy("leaf", "content").agg(F.lit(1).alias("one"))
     return once.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
 
 
-def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
-    """(line, leaf, template, n_docs) of the lines whose template recurs.
+def long_lines(seen: DataFrame, shared: DataFrame, min_docs: int, long_docs: int) -> DataFrame:
+    """(line) of the long lines of `long_docs` to `min_docs` texts of which enough have a part of their own.
 
-    lines: (row_key, leaf, line, tokens) of recurring leaves; line is the hash of the masked tokens.
+    seen: (content, line, size) once each; shared: (line, n, size, n_docs) of the lines of two or more texts.
+    """
+    is_long = (F.col("n") >= LONG_TOKENS) | (F.col("size") >= LONG_BYTES)
+    likely = shared.where(is_long & F.col("n_docs").between(long_docs, min_docs - 1)).select("line")
+    bearing = checkpointed(seen.select("content", "line").join(likely, "line"))
+    texts = seen.join(bearing.select("content").distinct(), "content")
+    own = F.when(F.col("n_docs").isNull(), F.col("size")).otherwise(0)
+    texts = texts.join(shared.select("line", "n_docs"), "line", "left").groupBy("content").agg(
+        F.sum(own).alias("own"), F.sum("size").alias("all")
+    )
+    counted = bearing.join(texts.where(F.col("own") >= F.col("all") * OWN), "content")
+    return counted.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= long_docs).select("line")
+
+
+def recurring_lines(distinct: DataFrame, min_docs: int, constant: float) -> DataFrame:
+    """(line, leaf, template, in_docs) of the lines whose template recurs.
+
+    distinct: (leaf, line, n_docs, tokens) of recurring leaves; line is the hash of the masked tokens.
     """
-    per_doc = lines.groupBy("leaf", "line", "row_key").agg(F.first("tokens").alias("tokens"))
-    distinct = per_doc.groupBy("leaf", "line").agg(F.count("*").alias("n_docs"), F.first("tokens").alias("tokens"))
     votes = (
         distinct.select("leaf", "n_docs", F.posexplode("tokens").alias("i", "token"))
         .groupBy("leaf", "i", "token")
@@ -93,6 +140,7 @@ def drop_recurring(
     min_tokens: int = 3,
     constant: float = 0.5,
     max_share: float = 0.5,
+    long_docs: int = 3,
 ) -> DataFrame:
     """One row per document: doc_id, the kept columns, text without boilerplate lines, n_lines, n_dropped."""
     docs = df.select(
@@ -101,17 +149,25 @@ def drop_recurring(
         *(df[c].alias(f"keep_{c}") for c in keep),
         df[text_col].alias("text"),
     )
-    lines = _lines(docs.select("row_key", "text"), min_tokens)
-    leaves = _small(_recurring_leaves(lines, min_docs))
-    likely = lines.join(leaves, "leaf").withColumn("tokens", _masked(F.col("tokens")))
-    # the texts are parsed twice in all: for the leaves, and for the lines of recurring ones
-    likely = checkpointed(likely.withColumn("line", F.xxhash64("tokens")))
-    found = _small(recurring_lines(likely, min_docs, constant).select("leaf", "line"))
-    flagged = likely.select("row_key", "pos", "leaf", "line", F.size("tokens").alias("n")).join(found, ["leaf", "line"])
+    lines = _lines(docs.select("row_key", "text"), min_tokens, constant)
+    seen = lines.groupBy("line", "content").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("size").alias("size"))
+    seen = checkpointed(seen)
+    counts = seen.groupBy("line").agg(
+        F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.max("size").alias("size"), F.count("*").alias("n_docs")
+    )
+    shared = checkpointed(counts.where(F.col("n_docs") >= 2))
+    leaves = _small(_recurring_leaves(seen, min_docs))
+    # the texts are parsed three times in all: for the hashes, for the tokens of recurring leaves, and for the places
+    tokens = lines.join(leaves, "leaf").groupBy("line").agg(F.first("masked").alias("tokens"))
+    distinct = checkpointed(counts.join(leaves, "leaf").select("leaf", "line", "n_docs").join(tokens, "line"))
+    equal = shared.where(F.col("n_docs") >= min_docs).select("line")
+    few = long_lines(seen, shared, min_docs, long_docs)
+    found = _small(equal.union(few).union(recurring_lines(distinct, min_docs, constant).select("line")).distinct())
+    flagged = lines.select("row_key", "pos", "n", "line").join(found, "line")
     drops = flagged.groupBy("row_key").agg(F.collect_list("pos").alias("drop"), F.sum("n").alias("words"))
     joined = docs.join(drops, "row_key", "left")
     parts = F.split("text", "\n")
-    n_words = F.size(F.filter(F.split("text", r"\s+"), lambda t: t != ""))
+    n_words = F.size(_tokens(F.col("text")))
     is_bearer = F.col("drop").isNotNull() & (F.col("words") < n_words * max_share)
     rest = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("drop"), i)), "\n")
     cleaned = joined.withColumn("bearer", F.coalesce(is_bearer, F.lit(False)))
