@@ -416,6 +416,19 @@ def test_long_and_unspaced_lines_recur(spark):
         assert got[i] == (texts[i], 0)
 
 
+def test_short_bearers_lose_recurring_lines(spark):
+    passage = prose(60)
+    texts = [f"{passage}\n{prose(50)}" for _ in range(12)] + [f"{passage}\nshort own line {i}!" for i in "abc"]
+    # near copies of one text, all but a line of which recurs, and a document of the passage alone
+    lines = "\n".join(prose(30) for _ in range(8))
+    texts += [f"{lines}\nwritten by {w}" for w in prose(200).split()[:12]] + [passage]
+    got = by_id(templates.drop_recurring(frame(spark, texts)), "text", "n_dropped")
+    for i in range(12):
+        assert got[i] == (texts[i].removeprefix(passage + "\n"), 1)
+    for i in range(15, len(texts)):
+        assert got[i] == (texts[i], 0)
+
+
 # Repeats.
 
 

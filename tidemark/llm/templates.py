@@ -14,8 +14,9 @@ distinct texts: documents of equal tokens count once. A line is boilerplate, and
 
 Lines that differ in variables only, and keep half of their tokens, are equal in all three.
 
-A document most of whose words are in such lines is a copy of others rather than a bearer of
-boilerplate; it stays whole, for the stage that removes copies.
+A document stays whole, for the stage that removes copies, only if nothing but such lines would be
+left of it, or if it is shown to be a copy: at least `copy_share` of its bytes are in such lines, and
+another document like that has the same sequence of them.
 
 Sets of leaves and lines are broadcast up to BROADCAST_ROWS hashes, and joined by a shuffle beyond.
 
@@ -53,21 +54,23 @@ def _masked(tokens: Column) -> Column:
 
 
 def _lines(docs: DataFrame, min_tokens: int, constant: float) -> DataFrame:
-    """(row_key, content, pos, n, size, masked, leaf, line) of every line with a letter or digit.
+    """(row_key, content, all, pos, n, size, masked, leaf, line) of every line with a letter or digit.
 
-    content is the hash of the tokens of the whole text; line that of the masked tokens, or of the
+    content is the hash of the tokens of the whole text, all its bytes; line that of the masked tokens, or of the
     tokens as they are if too few stay; leaf is null for lines that no template is made of.
     """
-    lines = docs.select(
-        "row_key", F.xxhash64(_tokens(F.col("text"))).alias("content"), F.posexplode(F.split("text", "\n")).alias("pos", "line")
-    ).where(F.col("line").rlike(WORD))
-    parsed = lines.select("row_key", "content", "pos", F.octet_length("line").alias("size"), _tokens(F.col("line")).alias("tokens"))
+    # before the explode, or the whole text would be split again for each of its lines
+    texts = docs.select("row_key", "text", F.xxhash64(_tokens(F.col("text"))).alias("content"), F.octet_length("text").alias("all"))
+    lines = texts.select("row_key", "content", "all", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.where(F.col("line").rlike(WORD))
+    parsed = lines.select("row_key", "content", "all", "pos", F.octet_length("line").alias("size"), _tokens(F.col("line")).alias("tokens"))
     parsed = parsed.withColumn("masked", _masked(F.col("tokens"))).withColumn("n", F.size("tokens"))
     stay = F.size(F.array_remove("masked", VARIABLE))
     whole = (F.col("n") >= min_tokens) & (stay >= F.col("n") * constant)
     return parsed.select(
         "row_key",
         "content",
+        "all",
         "pos",
         "n",
         "size",
@@ -139,8 +142,8 @@ def drop_recurring(
     min_docs: int = 10,
     min_tokens: int = 3,
     constant: float = 0.5,
-    max_share: float = 0.5,
     long_docs: int = 3,
+    copy_share: float = 0.9,
 ) -> DataFrame:
     """One row per document: doc_id, the kept columns, text without boilerplate lines, n_lines, n_dropped."""
     docs = df.select(
@@ -163,18 +166,25 @@ def drop_recurring(
     equal = shared.where(F.col("n_docs") >= min_docs).select("line")
     few = long_lines(seen, shared, min_docs, long_docs)
     found = _small(equal.union(few).union(recurring_lines(distinct, min_docs, constant).select("line")).distinct())
-    flagged = lines.select("row_key", "pos", "n", "line").join(found, "line")
-    drops = flagged.groupBy("row_key").agg(F.collect_list("pos").alias("drop"), F.sum("n").alias("words"))
-    joined = docs.join(drops, "row_key", "left")
+    drops = lines.select("row_key", "all", "pos", "size", "line").join(found, "line").groupBy("row_key").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("places"),
+        (F.sum("size") >= F.first("all") * copy_share).alias("likely"),
+    )
+    drops = checkpointed(
+        drops.select("row_key", "likely", F.col("places.pos").alias("drop"), F.xxhash64("places.line").alias("sequence"))
+    )
+    twins = drops.where("likely").groupBy("sequence").agg(F.count("*").alias("n")).where(F.col("n") >= 2)
+    twins = _small(twins.select("sequence", F.lit(True).alias("likely"), F.lit(True).alias("copy")))
+    drops = drops.join(twins, ["sequence", "likely"], "left").select("row_key", "drop", "copy")
     parts = F.split("text", "\n")
-    n_words = F.size(_tokens(F.col("text")))
-    is_bearer = F.col("drop").isNotNull() & (F.col("words") < n_words * max_share)
     rest = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("drop"), i)), "\n")
-    cleaned = joined.withColumn("bearer", F.coalesce(is_bearer, F.lit(False)))
+    cleaned = docs.join(drops, "row_key", "left").withColumn("rest", rest)
+    is_bearer = F.col("copy").isNull() & F.col("rest").rlike(WORD) & F.col("drop").isNotNull()
+    cleaned = cleaned.withColumn("bearer", F.coalesce(is_bearer, F.lit(False)))
     return cleaned.select(
         "doc_id",
         *(F.col(f"keep_{c}").alias(c) for c in keep),
-        F.when(F.col("bearer"), rest).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("bearer"), F.col("rest")).otherwise(F.col("text")).alias("text"),
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("bearer"), F.size("drop")).otherwise(F.lit(0)).cast("long").alias("n_dropped"),
     )
