@@ -1,5 +1,8 @@
 """Every registered query against its SQL, on the smallest sample tables."""
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -41,3 +44,15 @@ def test_query_matches_sql(spark, database, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_entry_without_optional_folders(tmp_path):
+    """A copy without the optional folders, corpus_pipeline.py left or not, still registers the other queries."""
+    skipped = shutil.ignore_patterns(".git", "llm", "__pycache__")
+    copy = shutil.copytree(Path(contract.__file__).parent, tmp_path / "copy", ignore=skipped)
+    assert not list(copy.rglob("llm"))
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    for _ in range(2):
+        ran = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True)
+        assert ran.stdout.split() == sorted(QUERIES), ran.stderr
+        (copy / "corpus_pipeline.py").unlink(missing_ok=True)
