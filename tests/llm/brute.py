@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
+from fractions import Fraction
+
+import xxhash
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -107,3 +111,83 @@ def repeats(texts, size=400):
 def shingles(text, k=5):
     w = words(text)
     return Counter(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else Counter()
+
+
+def trie(rows, head=lambda c: 0, origin=lambda c: c):
+    """Sorted tuples of every node's columns; rows: (conv_id, turn, role, text), without tied turns."""
+    turns = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        turns.setdefault(conv, []).append((role or "", text or ""))
+    convs = {c: tuple(turns.get(origin(c), [])[: head(c)] + own[head(c) :]) for c, own in turns.items()}
+    members = {}
+    for c, whole in convs.items():
+        for d in range(len(whole) + 1):
+            members.setdefault(whole[:d], []).append(c)
+    out = []
+    for node, inside in members.items():
+        below = [m for m in members if m[: len(node)] == node]
+        children = [m for m in below if len(m) == len(node) + 1]
+        leaves = [m for m in below if not any(x[: len(m)] == m and len(x) > len(m) for x in below)]
+        saved = sum((len(members[m]) - 1) * len(m[-1][1]) for m in below if m)
+        ends = sorted(c for c in inside if convs[c] == node)
+        parent = min(members[node[:-1]]) if node else None
+        ids = sha(",".join(map(str, ends)))
+        out.append((min(inside), len(node), parent, len(inside), len(children), len(leaves), saved, ids))
+    return sorted(out, key=str)
+
+
+def planted(doc_id, text):
+    """The words of a text, every tenth text made periodic from some word on."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def runs(w):
+    """(start, length, period) of every run of a list of words."""
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                stretch = w[i : j + q]
+                if not any(stretch[r:] == stretch[:-r] for r in range(1, q)):
+                    out.append((i, j - i + q, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic(doc_id, text):
+    """(n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256)"""
+    w = planted(doc_id, text)
+    found = runs(w)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    top = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+    listed = sha("".join(f"{s},{n},{q}\n" for s, n, q in found))
+    kept = sha(" ".join(x for i, x in enumerate(w) if i not in gone))
+    return len(found), *top, None if top[0] is None else 1000 * top[1] // top[2], listed, kept
+
+
+def fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    grams = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def reachable(fingerprints, distance=3):
+    """The smallest place that each place is linked to, by links between all pairs."""
+    label = list(range(len(fingerprints)))
+    for i, x in enumerate(fingerprints):
+        near = [j for j in range(i) if (x ^ fingerprints[j]).bit_count() <= distance]
+        groups = {label[j] for j in near} | {i}
+        label = [min(groups) if v in groups else v for v in label]
+    return label

@@ -12,9 +12,12 @@ from tidemark.llm import (
     licenses,
     neardup,
     packing,
+    periodic,
+    prefix_trie,
     quality,
     repeats,
     secrets,
+    simhash,
     templates,
     toxicity,
 )
@@ -86,6 +89,23 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations of each hundred ids share the first turns of that hundred's first, none to five of them."""
+    conv = F.col("conv")
+    return prefix_trie.prefix_trie(
+        table(spark, sf_dir, "conversations"), head=F.crc32(conv.cast("string")) % 6, origin=conv - conv % 100
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.digest(periodic.periodic_runs(docs, rewrite=periodic.planted))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_licenses": op2_licenses,
@@ -97,6 +117,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_repeats": op9_repeats,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE: dict[str, str] = {}
