@@ -53,6 +53,48 @@ RELATIONS = {
         FROM orders
         GROUP BY ALL
     """,
+    "card_history": """
+        SELECT o_orderkey AS card_num, o_custkey AS account_num, o_orderdate AS effective_from,
+        o_orderdate + to_days((o_orderkey % 40 + 10)::INT) - INTERVAL 1 SECOND AS effective_to,
+        'N' AS deleted_flg
+        FROM orders
+        UNION ALL
+        SELECT o_orderkey, o_custkey + 1, o_orderdate + to_days((o_orderkey % 40 + 10)::INT),
+        TIMESTAMP '2999-12-31 00:00:00', CASE WHEN o_orderkey % 17 = 0 THEN 'Y' ELSE 'N' END
+        FROM orders
+    """,
+    "account_history": """
+        SELECT account_num, change_ts + to_days((account_num % 90 + 20)::INT) AS valid_to,
+        account_num AS client, change_ts AS effective_from, coalesce(lead(change_ts) OVER (PARTITION
+        BY account_num ORDER BY change_ts) - INTERVAL 1 SECOND, TIMESTAMP '2999-12-31 00:00:00') AS
+        effective_to, CASE WHEN status = 'P' THEN 'Y' ELSE 'N' END AS deleted_flg
+        FROM (SELECT account_num, coalesce(update_dt, create_dt) AS change_ts, max(status) AS status
+        FROM acct_changes
+        GROUP BY ALL)
+    """,
+    "client_history": """
+        SELECT client_id, last_name, first_name, patronymic, phone, passport_num, TIMESTAMP
+        '1996-01-01 00:00:00' + to_days((client_id % 1000)::INT) AS passport_valid_to, TIMESTAMP
+        '1990-01-01 00:00:00' AS effective_from, TIMESTAMP '1996-01-01 00:00:00' + to_days((client_id
+        % 1000)::INT) - INTERVAL 1 SECOND AS effective_to
+        FROM dim_clients
+        UNION ALL
+        SELECT client_id, last_name, first_name, patronymic, phone, 'Q' || client_id, TIMESTAMP
+        '1996-01-01 00:00:00' + to_days((client_id % 1000 + client_id % 700)::INT), TIMESTAMP
+        '1996-01-01 00:00:00' + to_days((client_id % 1000)::INT), TIMESTAMP '2999-12-31 00:00:00'
+        FROM dim_clients
+    """,
+    "at_event": """
+        SELECT f.card_num, f.trans_date, c.account_num, a.valid_to, p.*
+        FROM fact_tx f
+        JOIN card_history c ON f.card_num = c.card_num AND f.trans_date BETWEEN c.effective_from AND
+        c.effective_to AND c.deleted_flg = 'N'
+        JOIN account_history a ON c.account_num = a.account_num AND f.trans_date BETWEEN
+        a.effective_from AND a.effective_to AND a.deleted_flg = 'N'
+        JOIN client_history p ON a.client = p.client_id AND f.trans_date BETWEEN p.effective_from AND
+        p.effective_to
+        WHERE f.trans_date <= TIMESTAMP '2024-01-15 23:59:59'
+    """,
     "enriched": """
         SELECT f.trans_date, a.valid_to, p.*
         FROM fact_tx f
@@ -321,6 +363,44 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         FROM enriched
         """,
     ),
+    "txn_enriched_event": (
+        "dim_clients fact_tx acct_changes card_history account_history client_history at_event",
+        """
+        SELECT card_num, trans_date, account_num, client_id, passport_num, valid_to
+        FROM at_event
+        """,
+    ),
+    "txn_enriched_event_hot": (
+        "acct_changes account_history",
+        """
+        SELECT account_num AS key, o_orderkey, valid_to
+        FROM orders
+        JOIN account_history ON o_custkey % 7 = account_num AND o_orderdate BETWEEN effective_from
+        AND effective_to
+        """,
+    ),
+    "fraud_report_event": (
+        "dim_clients fact_blacklist fact_tx acct_changes card_history account_history client_history"
+        " at_event",
+        """
+        , told AS (SELECT *, coalesce(last_name,'') || ' ' || coalesce(first_name,'') || ' ' ||
+        coalesce(patronymic,'') AS fio
+        FROM at_event), listed AS (SELECT substr(passport_num, 2) AS number, min(entry_dt) - INTERVAL
+        9400 DAY AS entry_dt
+        FROM fact_blacklist
+        GROUP BY ALL)
+        SELECT DISTINCT trans_date AS event_id, passport_num AS passport, fio, phone, '1' AS event_type,
+        TIMESTAMP '2024-01-15 23:59:59' AS report_dt
+        FROM told
+        WHERE passport_valid_to < trans_date OR EXISTS (SELECT 1
+        FROM listed
+        WHERE number = substr(passport_num, 2) AND entry_dt <= trans_date)
+        UNION ALL
+        SELECT DISTINCT trans_date, passport_num, fio, phone, '2', TIMESTAMP '2024-01-15 23:59:59'
+        FROM told
+        WHERE valid_to < trans_date
+        """,
+    ),
     "fraud_passport_blacklisted": (
         "fact_blacklist dim_cards dim_accounts dim_clients fact_tx enriched",
         """

@@ -325,6 +325,29 @@ def _txn_enriched(s: Sample) -> DataFrame:
     )
 
 
+@query("txn_enriched_event")
+def _txn_enriched_event(s: Sample) -> DataFrame:
+    return op.enrich_at_event(s.fact_tx(), *s.histories(), REPORT_TS).select(
+        "card_num", "trans_date", "account_num", "client_id", "passport_num", "valid_to"
+    )
+
+
+@query("txn_enriched_event_hot")
+def _txn_enriched_event_hot(s: Sample) -> DataFrame:
+    """Orders of seven keys with the account version of that number, on the path of keys with very many rows."""
+    facts = s.table("orders").select(
+        (F.col("o_custkey") % 7).alias("key"), "o_orderkey", F.col("o_orderdate").alias("at")
+    )
+    owners = s.account_history().where(F.col("account_num") < 7).withColumnRenamed("account_num", "key")
+    versions = owners.select("key", "valid_to", "effective_from", "effective_to")
+    return op.as_of_join(facts, versions, "key", "at", hot_rows=50).select("key", "o_orderkey", "valid_to")
+
+
+@query("fraud_report_event")
+def _fraud_report_event(s: Sample) -> DataFrame:
+    return op.fraud_at_event(s.fact_tx(), *s.histories(), s.early_blacklist(), REPORT_TS)
+
+
 @query("fraud_passport_blacklisted")
 def _fraud_passport_blacklisted(s: Sample) -> DataFrame:
     cards, accounts, clients = s.dims()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import before, change_time, high, ntz
-from tidemark.operators.chain import one_row_per
+from tidemark.operators.chain import one_row_per, with_successor
 
 REPORT_TS = "2024-01-15 23:59:59"
 
@@ -149,5 +149,65 @@ class Sample:
             .select(F.col("c_custkey").alias("account_num"))
         )
 
+    # Histories of several versions, for what held at the time of an event.
+
+    def card_history(self) -> DataFrame:
+        """Cards that move on to the next account some days after their start."""
+        order, account, start = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
+        moved = _plus_days(start, order % 40 + 10)
+        live, ended = F.lit("N"), F.when(order % 17 == 0, "Y").otherwise("N")
+        versions = F.array(
+            F.struct(account.alias("account_num"), start.alias("effective_from"),
+                     before(moved).alias("effective_to"), live.alias("deleted_flg")),
+            F.struct((account + 1).alias("account_num"), moved.alias("effective_from"),
+                     high().alias("effective_to"), ended.alias("deleted_flg")),
+        )
+        rows = self.table("orders").select(order.alias("card_num"), F.explode(versions).alias("v"))
+        return rows.select("card_num", "v.*")
+
+    def account_history(self) -> DataFrame:
+        """The change log of accounts as versions."""
+        chained = with_successor(self.acct_versions(), "account_num", "change_ts")
+        key, start = F.col("account_num"), F.col("change_ts")
+        return chained.select(
+            "account_num",
+            _plus_days(start, key % 90 + 20).alias("valid_to"),
+            key.alias("client"),
+            start.alias("effective_from"),
+            F.coalesce(before(F.col("next_from")), high()).alias("effective_to"),
+            F.when(F.col("status") == "P", "Y").otherwise("N").alias("deleted_flg"),
+        )
+
+    def client_history(self) -> DataFrame:
+        """Clients with a second passport from some day on."""
+        key = F.col("client_id")
+        changed = _plus_days(ntz("1996-01-01"), key % 1000)
+        second = F.concat(F.lit("Q"), key.cast("string"))
+        versions = F.array(
+            F.struct(F.col("passport_num").alias("number"), ntz("1990-01-01").alias("effective_from"),
+                     before(changed).alias("effective_to"), changed.alias("valid_to")),
+            F.struct(second.alias("number"), changed.alias("effective_from"),
+                     high().alias("effective_to"), _plus_days(changed, key % 700).alias("valid_to")),
+        )
+        names = ("client_id", "last_name", "first_name", "patronymic", "phone", "deleted_flg")
+        rows = self.dim_clients().select(*names, F.explode(versions).alias("v"))
+        return rows.select(
+            *names,
+            F.col("v.number").alias("passport_num"),
+            F.col("v.valid_to").alias("passport_valid_to"),
+            "v.effective_from",
+            "v.effective_to",
+        )
+
+    def early_blacklist(self) -> DataFrame:
+        """Both passports of some users, listed years before."""
+        number = F.substring("passport_num", 2, 20)
+        day = F.col("entry_dt") - F.make_dt_interval(days=F.lit(9400))
+        both = F.explode(F.array(F.concat(F.lit("P"), number), F.concat(F.lit("Q"), number)))
+        return self.fact_blacklist().select(both.alias("passport_num"), day.alias("entry_dt"))
+
+    def histories(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.card_history(), self.account_history(), self.client_history()
+
     def dims(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.dim_cards(), self.dim_accounts(), self.dim_clients()

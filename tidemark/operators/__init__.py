@@ -1,5 +1,13 @@
 """The warehouse operators, each a function from DataFrames to a DataFrame."""
 
+from tidemark.operators.asof import (
+    as_of_join,
+    card_timeline,
+    enrich_at_event,
+    flagged_timeline,
+    fraud_at_event,
+    valid_together,
+)
 from tidemark.operators.chain import hot_keys, one_row_per, with_first, with_successor
 from tidemark.operators.diff import snapshot_changed, snapshot_deleted, snapshot_new
 from tidemark.operators.dims import dim_as_of, dim_current, dim_first_seen, validate_history
@@ -43,7 +51,13 @@ from tidemark.operators.watermark import (
 __all__ = [
     "advance_watermark",
     "append_fact",
+    "as_of_join",
     "blacklisted_subjects",
+    "card_timeline",
+    "enrich_at_event",
+    "flagged_timeline",
+    "fraud_at_event",
+    "valid_together",
     "by_holder_number",
     "changed_since",
     "contract_subjects",
