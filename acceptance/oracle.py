@@ -118,6 +118,19 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         FROM orders
         """,
     ),
+    "src_delimited_rejected": (
+        "",
+        """
+        SELECT CASE WHEN reason = 'read' THEN o_orderkey::VARCHAR ELSE o_orderkey || ';' || day || ';' ||
+        amount || 'card' || o_custkey || ';' || type || ';SUCCESS;T1' END AS line, reason
+        FROM (SELECT *, o_orderkey % 50 AS k, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || CASE WHEN
+        k = 1 THEN '?' ELSE '' END AS day, CASE WHEN k IN (1, 2) THEN 'many;' WHEN k = 5 THEN '' ELSE
+        replace(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), '.', ',') || ';' END AS amount,
+        CASE WHEN k = 3 THEN 'a;b;c;d' ELSE 'PAYMENT' END AS type, CASE WHEN k IN (3, 5) THEN 'width'
+        WHEN k = 1 THEN 'transaction_date' WHEN k = 2 THEN 'amount' ELSE 'read' END AS reason
+        FROM orders)
+        """,
+    ),
     "normalize_keys": (
         "",
         """

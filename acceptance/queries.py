@@ -29,6 +29,7 @@ from tidemark.plans.load import (
     load_together,
     load_transactions,
 )
+from tidemark.schemas import STG_TRANSACTIONS
 from tidemark.session import scratch_path
 from tidemark.sources import (
     discover_feed,
@@ -87,6 +88,31 @@ def _src_delimited(s: Sample) -> DataFrame:
     )
 
 
+@query("src_delimited_rejected")
+def _src_delimited_rejected(s: Sample) -> DataFrame:
+    """Orders as lines of which some miss a value or hold bad ones; those not read, and why."""
+    path, key = scratch_path(s.spark, "lines"), F.col("o_orderkey") % 50
+    day = F.date_format("o_orderdate", SECOND_PATTERN)
+    lines = s.table("orders").select(
+        F.concat_ws(
+            ";",
+            "o_orderkey",
+            F.when(key == 1, F.concat(day, F.lit("?"))).when(key == 4, F.lit("")).otherwise(day),
+            F.when(key.isin(1, 2), F.lit("many")).when(key == 5, F.lit(None)).otherwise(_decimal_comma("o_totalprice")),
+            F.concat(F.lit("card"), "o_custkey"),
+            F.when(key == 3, F.lit("a;b;c;d")).otherwise(F.lit("PAYMENT")),
+            F.lit("SUCCESS"),
+            F.lit("T1"),
+        )
+    )
+    lines.write.text(path)
+    staged = read_delimited(s.spark, path, STG_TRANSACTIONS, keep_bad=True, header="false")
+    kept = op.fact_transactions(staged, strict=False).select(
+        F.col("trans_id").alias("line"), F.lit("read").alias("reason")
+    )
+    return op.rejected_lines(staged).unionByName(kept)
+
+
 @query("src_file_date")
 def _src_file_date(s: Sample) -> DataFrame:
     """Orders in one drop per month, found by name and stamped with the drop's date."""
@@ -455,7 +481,7 @@ def _cards_load(s: Sample) -> DataFrame:
     for source, run_ts in ((orders, "2009-01-01"), (later, "2010-01-02")):
         commit = warehouse.begin()
         newest = load_bank_table(commit, FrameBank({"cards": source}), "cards", run_ts)
-        commit.put_watermarks(op.advance_watermark(warehouse.watermarks(), newest))
+        commit.advance_watermarks(newest)
         commit.publish()
     return warehouse.history("cards")
 
@@ -508,7 +534,7 @@ def _report_stored(s: Sample) -> DataFrame:
     commit = warehouse.begin()
     load_together(
         [
-            partial(load_transactions, commit, lambda **_: staged),
+            partial(load_transactions, commit, staged),
             partial(load_blacklist, commit, listed),
             *[partial(load_bank_table, commit, bank, t, "2020-01-01") for t in bank.tables],
         ]

@@ -7,6 +7,7 @@ import pytest
 from feeds import blacklist_drop, terminals_drop, transactions_drop
 from tidemark import schemas
 from tidemark.operators import read_watermark, scd2_apply_snapshot
+from tidemark.plans.load import load_bank_table, load_terminals, load_transactions
 from tidemark.plans import ConcurrentLoadError, FrameBank, Warehouse, run_backlog, run_load, run_report
 from tidemark.sources import MissingFeedError
 from tidemark.streaming import feed_stream
@@ -77,15 +78,153 @@ def test_failed_run_changes_nothing_and_keeps_its_files(spark, place):
     assert not list(staging.iterdir()) and warehouse.transactions().count() == 1
 
 
-def test_bad_date_fails_the_run(spark, place):
+BAD = ("1", "yesterday", "1", "card", "t", "r", "x")
+
+
+def test_bad_date_fails_a_strict_run(spark, place):
     warehouse, feeds, archive = place
     drop_all(feeds, D1)
-    transactions_drop(feeds, D1, [("1", "yesterday", "1", "card", "t", "r", "x")])
+    transactions_drop(feeds, D1, [BAD])
     with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
-        run_load(warehouse, str(feeds), bank(spark), D1, str(archive))
+        run_load(warehouse, str(feeds), bank(spark), D1, str(archive), strict=True)
     assert warehouse.manifest()["version"] == 0
 
 
+def test_bad_lines_are_kept_aside(spark, place):
+    """Other lines of the drop are loaded; nothing is set aside where all can be read."""
+    warehouse, feeds, archive = place
+    drop_all(feeds, D1)
+    short = ("2", "2021-03-01 08:00:00", "1")
+    amount = ("3", "2021-03-01 08:00:00", "1,2,3", "card", "t", "r", "x")
+    transactions_drop(feeds, D1, [BAD, transaction(7, D1), short, amount])
+    run_load(warehouse, str(feeds), bank(spark), D1, str(archive))
+    assert [r.trans_id for r in warehouse.transactions().collect()] == ["7"]
+    assert sorted(map(tuple, warehouse.unread_lines().collect())) == [
+        ("1;yesterday;1;card;t;r;x", "transaction_date"),
+        ("2;2021-03-01 08:00:00;1", "width"),
+        ("3;2021-03-01 08:00:00;1,2,3;card;t;r;x", "amount"),
+    ]
+    drop_all(feeds, D2)
+    run_load(warehouse, str(feeds), bank(spark), D2, str(archive))
+    assert len(warehouse.manifest()["tables"]["transactions_unread"]["parts"]) == 1
+    drop_all(feeds, D3)
+    transactions_drop(feeds, D3, [BAD, transaction(8, D3)])
+    drain(warehouse, feeds, "transactions")
+    assert warehouse.transactions().count() == 3 and warehouse.unread_lines().count() == 4
+    assert warehouse.expire(keep=1) is not None and warehouse.unread_lines().count() == 4
+
+
+def test_empty_drop_touches_no_history(spark, place):
+    warehouse, feeds, _ = place
+    commit = warehouse.begin()
+    rows = spark.createDataFrame([(str(n), D1, "c", None, None, None, None) for n in range(3)], schemas.FACT_TRANSACTIONS)
+    commit.add_transactions(rows)
+    commit.publish()
+    commit = warehouse.begin()
+    looked = []
+    warehouse.transaction_folders = lambda *a: looked.append(a) or []
+    newest = load_transactions(commit, spark.createDataFrame([], schemas.STG_TRANSACTIONS))
+    assert newest == {"transactions": None} and not looked
+    assert commit.next["tables"]["transactions"] == commit.base["tables"]["transactions"]
+    commit.advance_watermarks(newest)
+    assert commit.next["watermarks"] == commit.base["watermarks"]
+
+
+def test_drop_is_parsed_once(spark, place):
+    """One scan of the text a night, also where stored days are met again; then months part."""
+    warehouse, feeds, _ = place
+    for days, jobs in (((D1, D2), 1), ((D1, D3), 1), ((datetime(2021, 4, 1), datetime(2021, 6, 9)), 1)):
+        parsed = spark.sparkContext.accumulator(0)
+
+        def seen(batches, parsed=parsed):
+            for batch in batches:
+                parsed.add(batch.num_rows)
+                yield batch
+
+        rows = [transaction(d.month * 100 + d.day, d) for d in days]
+        text = spark.createDataFrame(rows, schemas.STG_TRANSACTIONS)
+        commit = warehouse.begin()
+        load_transactions(commit, text.mapInArrow(seen, text.schema))
+        commit.publish()
+        assert parsed.value == jobs * len(days)
+    assert warehouse.transactions().count() == 5
+    spans = [(p["first"][:10], p["last"][:10]) for p in warehouse.manifest()["tables"]["transactions"]["parts"]]
+    assert spans == [
+        ("2021-03-01", "2021-03-02"),
+        ("2021-03-01", "2021-03-03"),
+        ("2021-04-01", "2021-04-30"),
+        ("2021-06-01", "2021-06-09"),
+    ]
+
+
+def test_stored_rows_are_skipped_and_differing_ones_set_aside(spark, place):
+    warehouse = place[0]
+    undated = ("9", None, "1", "card", "t", "r", "x")
+    changed = ("1", "2021-03-01 08:00:00", "9", "card", "PAYMENT", "SUCCESS", "T1")
+    for rows in ([transaction(1, D1), undated], [changed, transaction(2, D1), undated], [undated]):
+        commit = warehouse.begin()
+        load_transactions(commit, spark.createDataFrame(rows, schemas.STG_TRANSACTIONS))
+        commit.publish()
+    assert sorted(r.trans_id for r in warehouse.transactions().collect()) == ["1", "2", "9"]
+    assert [str(r.amt) for r in warehouse.rejected_transactions().collect()] == ["9.00"]
+    assert [r.trans_id for r in warehouse.transactions(D2, D3).collect()] == ["9"]
+
+
+def open_files(warehouse, name):
+    return {f.split("key_bucket=")[1].split("/")[0]: f for f in warehouse.open_rows(name).inputFiles()}
+
+
+def test_changed_row_leaves_other_folders_alone(spark, place):
+    warehouse, feeds, _ = place
+    spec = schemas.TERMINALS
+
+    def load(day, changed=(), gone=(), extra=()):
+        rows = [(f"T{n}", "ATM", "moved" if n in changed else None, "a") for n in range(60) if n not in gone]
+        rows += list(extra)
+        commit = warehouse.begin()
+        schema = ", ".join(f"{c} string" for c in ("terminal_id", "terminal_type", "terminal_city", "terminal_address"))
+        load_terminals(commit, spark.createDataFrame(rows, schema), day)
+        commit.publish()
+        return open_files(warehouse, "terminals")
+
+    first = load(D1)
+    assert len(first) > 10
+    assert load(datetime(2021, 3, 1, 12)) == first, "an equal snapshot rewrites nothing"
+    second = load(D2, changed=(5,))
+    assert sum(second[b] != first[b] for b in first) == 1
+    third = load(D3, changed=(5,), gone=(6,), extra=[("T99", "ATM", None, "a")])
+    assert 1 <= sum(third.get(b) != second.get(b) for b in third) <= 2
+    rows = {(r[spec.key], r.effective_from, r.deleted_flg) for r in warehouse.history("terminals").collect()}
+    assert {("T5", D1, "N"), ("T5", D2, "N"), ("T6", D1, "N"), ("T6", D3, "Y"), ("T99", D3, "N")} <= rows
+    assert len(rows) == 60 + 3
+    # values that move between columns are a change, though the same values are there
+    swapped = load(datetime(2021, 3, 4), changed=(5,), gone=(6, 7), extra=[("T99", "ATM", None, "a"), ("T7", "ATM", "a", None)])
+    assert swapped != third
+
+
+def test_bank_change_leaves_other_folders_alone(spark, place):
+    warehouse = place[0]
+    cards = [(f"c{n}", "a", D1, None) for n in range(60)]
+
+    def load(rows, run_ts):
+        commit = warehouse.begin()
+        source = FrameBank({"cards": spark.createDataFrame(rows, schemas.STG_CARDS)})
+        commit.advance_watermarks(load_bank_table(commit, source, "cards", run_ts))
+        commit.publish()
+        return open_files(warehouse, "cards")
+
+    first = load(cards, D1)
+    changed = [("c1", "b", D1, datetime(2021, 3, 1, 9)), *[c for c in cards if c[0] not in ("c1", "c2")]]
+    second = load(changed, D2)
+    assert 1 <= sum(second[b] != first[b] for b in first) <= 2
+    assert warehouse.watermark("cards") == datetime(2021, 3, 1, 9)
+    assert load(changed, D3) == second
+    third = load([*changed, ("c2", "a", D1, None)], D3)  # returned without a newer change
+    assert sum(third[b] != second[b] for b in second) == 1
+    flags = [(r.card_num, r.deleted_flg) for r in warehouse.open_rows("cards").collect()]
+    assert len(flags) == 60 and ("c2", "N") in flags
+
+
 def test_missing_feed_stops_the_run(spark, place):
     warehouse, feeds, archive = place
     drop_all(feeds, D1)
@@ -153,8 +292,10 @@ def test_reads_touch_only_the_days_and_parts_in_question(spark, place):
         drop_all(feeds, day, [("T1", "ATM", "c", f"a{day.day}")])
         run_load(warehouse, str(feeds), bank(spark), day, str(archive))
     day = (D2, datetime(2021, 3, 2, 23, 59, 59))
-    plan = warehouse.transactions(*day)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(trans_month" in plan
+    found = warehouse.transactions(*day)
+    assert {f.split("/v=")[1].split("-")[0] for f in found.inputFiles()} == {"2"}
+    assert len(warehouse.transaction_folders()) == 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(trans_date" in plan and "LessThanOrEqual(trans_date" in plan
     opened = warehouse.open_rows("terminals")
     assert all("state=open" in f for f in opened.inputFiles())

@@ -38,9 +38,11 @@ def to_iso_text(col: Column) -> Column:
     return F.date_format(col, DAY_PATTERN)
 
 
-def parse_amount(col: Column, precision: int = 18, scale: int = 2) -> Column:
-    """Text with a decimal comma (or point) to a decimal. Cents are kept."""
-    return F.replace(F.trim(col), F.lit(","), F.lit(".")).cast(T.DecimalType(precision, scale))
+def parse_amount(col: Column, precision: int = 18, scale: int = 2, strict: bool = True) -> Column:
+    """Text with a decimal comma (or point) to a decimal. Cents are kept. Bad text raises, or
+    gives NULL when not ``strict``."""
+    text, kind = F.replace(F.trim(col), F.lit(","), F.lit(".")), T.DecimalType(precision, scale)
+    return text.cast(kind) if strict else text.try_cast(kind)
 
 
 def change_time(update_col: str = "update_dt", create_col: str = "create_dt") -> Column:

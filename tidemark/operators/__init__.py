@@ -16,6 +16,7 @@ from tidemark.operators.facts import (
     differing_copies,
     fact_blacklist,
     fact_transactions,
+    rejected_lines,
 )
 from tidemark.operators.fraud import (
     blacklisted_subjects,
@@ -81,6 +82,7 @@ __all__ = [
     "one_row_per",
     "passport_subjects",
     "read_watermark",
+    "rejected_lines",
     "report_subjects",
     "scd2_apply_incremental",
     "scd2_apply_snapshot",

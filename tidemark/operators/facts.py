@@ -11,15 +11,21 @@ from pyspark.sql import types as T
 
 from tidemark.functions.clean import DAY_PATTERN, SECOND_PATTERN, parse_amount, parse_dates
 from tidemark.functions.times import Moment, ntz, to_second
+from tidemark.sources.delimited import BAD_LINE
 
 
 def _text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def _time(df: DataFrame, name: str, pattern: str) -> Column:
+def _time(df: DataFrame, name: str, pattern: str, strict: bool = True) -> Column:
     col = F.col(name)
-    return parse_dates(F.trim(col), pattern) if _text(df, name) else to_second(col)
+    return parse_dates(F.trim(col), pattern, strict) if _text(df, name) else to_second(col)
+
+
+def _amount(df: DataFrame, name: str, strict: bool = True) -> Column:
+    col = F.col(name)
+    return parse_amount(col, strict=strict) if _text(df, name) else col.cast("decimal(18,2)")
 
 
 def _key(df: DataFrame, name: str) -> Column:
@@ -27,19 +33,21 @@ def _key(df: DataFrame, name: str) -> Column:
     return F.nullif(F.trim(col), F.lit("")) if _text(df, name) else col
 
 
-def fact_transactions(staged: DataFrame) -> DataFrame:
+def fact_transactions(staged: DataFrame, strict: bool = True) -> DataFrame:
     """Staged transactions as fact rows: renamed, reordered, typed.
 
     Text is parsed; columns that arrive typed are taken as they are. Columns the stage
-    does not carry are left out.
+    does not carry are left out. Bad text raises; when not ``strict``, rows with bad text
+    are left out, and ``rejected_lines`` gives them.
     """
-    amount = parse_amount if _text(staged, "amount") else lambda c: c.cast("decimal(18,2)")
     columns = {
         "trans_id": _key(staged, "transaction_id"),
-        "trans_date": _time(staged, "transaction_date", SECOND_PATTERN),
+        "trans_date": _time(staged, "transaction_date", SECOND_PATTERN, strict),
         "card_num": _key(staged, "card_num"),
-        "amt": amount(F.col("amount")),
+        "amt": _amount(staged, "amount", strict),
     }
+    if not strict:
+        staged = staged.where(bad_text(staged).isNull())
     for name in ("oper_type", "oper_result", "terminal"):
         if name in staged.columns:
             columns[name] = _key(staged, name)
@@ -47,6 +55,33 @@ def fact_transactions(staged: DataFrame) -> DataFrame:
     return staged.select(*[columns[c].alias(c) for c in order if c in columns])
 
 
+def bad_text(staged: DataFrame) -> Column:
+    """Why a staged transaction cannot be read: ``width`` of its line, or the name of the first
+    column whose text is bad; NULL if it can. A missing value is not bad text."""
+    reason = F.lit(None).cast("string")
+    parsed = {
+        "transaction_date": _time(staged, "transaction_date", SECOND_PATTERN, strict=False),
+        "amount": _amount(staged, "amount", strict=False),
+    }
+    for name in reversed(list(parsed)):
+        if _text(staged, name):
+            bad = F.col(name).isNotNull() & parsed[name].isNull()
+            reason = F.when(bad, F.lit(name)).otherwise(reason)
+    if BAD_LINE in staged.columns:
+        reason = F.when(F.col(BAD_LINE).isNotNull(), F.lit("width")).otherwise(reason)
+    return reason
+
+
+def rejected_lines(staged: DataFrame) -> DataFrame:
+    """(line, reason) of the staged transactions that cannot be read: the line as it came if its
+    width is wrong, else its values."""
+    values = [F.coalesce(F.col(c), F.lit("")) for c in staged.columns if c != BAD_LINE]
+    line = F.concat_ws(";", *values)
+    if BAD_LINE in staged.columns:
+        line = F.coalesce(F.col(BAD_LINE), line)
+    return staged.select(line.alias("line"), bad_text(staged).alias("reason")).where("reason is not null")
+
+
 def fact_blacklist(staged: DataFrame, mark: Moment) -> DataFrame:
     """Staged blocked passports entered strictly after the mark.
 

@@ -6,24 +6,25 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime
 from functools import partial
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions.clean import change_time, normalize_keys, seconds_only
-from tidemark.functions.times import Moment, high, ntz
+from tidemark.functions.times import Moment, as_datetime, high, ntz
 from tidemark.operators.facts import (
-    append_fact,
-    differing_copies,
+    bad_text,
     fact_blacklist,
     fact_transactions,
+    rejected_lines,
 )
 from tidemark.operators.scd2 import scd2_apply_incremental, scd2_apply_snapshot
-from tidemark.operators.watermark import advance_watermark, incremental
+from tidemark.operators.watermark import incremental
 from tidemark.plans.store import Commit, Warehouse
 from tidemark.sources.archive import archive_drops
 from tidemark.sources.delimited import read_delimited
@@ -33,7 +34,8 @@ from tidemark.sources.workbook import read_workbook
 
 log = logging.getLogger(__name__)
 
-Newest = dict[str, tuple[DataFrame, Column]]
+#: The largest time loaded of each table; None if it loaded nothing.
+Newest = dict[str, datetime | None]
 
 STG_BANK = {
     "accounts": schemas.STG_ACCOUNTS,
@@ -96,34 +98,59 @@ def clean_bank_rows(table: str, rows: DataFrame) -> DataFrame:
 
 
 def load_transactions(
-    commit: Commit, read: Callable[..., DataFrame], skip_stored: bool = True
+    commit: Commit, staged: DataFrame, skip_stored: bool = True, strict: bool = True
 ) -> Newest:
-    """Append a drop of transactions.
+    """Append a drop of transactions. It is parsed once, by the write of its rows, which also
+    yields the times it spans. Rows stored before are left out; a row whose id and time are
+    stored with other values is set aside, not lost.
 
-    ``read(**options)`` reads the drop. It is read twice: for the times it spans, where
-    only the date is parsed, and for the rows. The span bounds the stored part that must
-    be looked through for rows loaded before. A row whose id and time are stored with
-    other values is set aside, not lost.
+    When not ``strict``, lines that cannot be read are set aside instead of failing the
+    run. They are read again for that, only if there are any.
     """
-    times = fact_transactions(read(columnPruning="true")).select("trans_date")
-    first, last = times.agg(F.min("trans_date"), F.max("trans_date")).first()
-    stored = commit.warehouse.transactions(first, last) if skip_stored else None
-    if stored is not None and stored.isEmpty():
-        stored = None  # a new day, as on most nights: appended without a shuffle
-    several = first is not None and (first.year, first.month) != (last.year, last.month)
-    commit.add_transactions(append_fact(fact_transactions(read()), stored), months=several)
-    if stored is not None:
-        differing = differing_copies(fact_transactions(read()), stored)
-        commit.add_rejected_transactions(differing)
-    marks = commit.warehouse.spark.createDataFrame([(last,)], "last timestamp_ntz")
-    return {"transactions": (marks, F.col("last"))}
+    unread = Observation()
+    read = staged
+    if not strict:
+        read = staged.observe(unread, F.count_if(bad_text(staged).isNotNull()).alias("n"))
+    seen = commit.add_transactions(fact_transactions(read, strict), skip_stored)
+    if not strict and unread.get["n"]:
+        commit.add_unread_lines(rejected_lines(staged))
+    return {"transactions": seen["last"]}
 
 
 def load_blacklist(commit: Commit, staged: DataFrame) -> Newest:
-    """Append the passports listed since the mark."""
-    staged = commit.stage("blacklist", staged.select(*schemas.STG_BLACKLIST.fieldNames()))
-    commit.add_blacklist(fact_blacklist(staged, commit.warehouse.watermark("blacklist")))
-    return {"blacklist": (fact_blacklist(staged, schemas.SEED), F.col("entry_dt"))}
+    """Append the passports listed since the mark. Every file repeats the list, and several may
+    come together, so equal rows are one."""
+    listed = fact_blacklist(staged.select(*schemas.STG_BLACKLIST.fieldNames()), schemas.SEED)
+    rows = commit.stage("blacklist", listed, F.col("entry_dt"))
+    mark = commit.warehouse.watermark("blacklist")
+    commit.add_blacklist(rows.where(F.col("entry_dt") > ntz(mark)).distinct())
+    return {"blacklist": commit.newest["blacklist"]}
+
+
+def _fingerprints(rows: DataFrame, key: str, attrs: list[str], bucket: Column) -> dict[int, tuple]:
+    """Of each bucket the number of rows and two hashes of all of them, whatever their order."""
+    told = [c for a in attrs for c in (F.col(a), F.col(a).isNull())]
+    hashes = (F.xxhash64(key, *told), F.xxhash64(*told, key, F.lit(1)))
+    marked = rows.where(F.col(key).isNotNull()).select(
+        bucket.alias("b"), *[h.alias(f"h{i}") for i, h in enumerate(hashes)]
+    )
+    found = marked.groupBy("b").agg(F.count("*"), F.bit_xor("h0"), F.bit_xor("h1"))
+    return {r[0]: tuple(r[1:]) for r in found.collect()}
+
+
+def differing_buckets(
+    warehouse: Warehouse, table: str, given: DataFrame, attrs: list[str]
+) -> set[int]:
+    """Buckets in which the live open rows and the given rows are not the same, by key and attributes.
+
+    Nothing is joined or shuffled but one row per bucket and task. Equal rows given twice make a
+    bucket differ, which costs a look at it and changes nothing.
+    """
+    key = schemas.DIMS[table].key
+    live = warehouse.open_rows(table).where(F.col("deleted_flg") == schemas.LIVE)
+    bucket = warehouse.bucket(key)
+    here, there = (_fingerprints(rows, key, attrs, bucket) for rows in (live, given))
+    return {b for b in here.keys() | there.keys() if here.get(b) != there.get(b)}
 
 
 def load_terminals(commit: Commit, staged: DataFrame, eff_ts: Moment) -> Newest:
@@ -147,32 +174,41 @@ def load_terminals(commit: Commit, staged: DataFrame, eff_ts: Moment) -> Newest:
         return {}
     cleaned = normalize_keys(staged.select(spec.key, *spec.attrs), spec.key)
     snap = commit.stage("terminals", cleaned)
-    opened = commit.warehouse.open_rows("terminals")
-    commit.put_history(
-        "terminals", scd2_apply_snapshot(opened, snap, spec.key, spec.attrs, eff_ts)
-    )
-    marks = commit.warehouse.spark.createDataFrame([(eff_ts,)], "eff timestamp_ntz")
-    return {"terminals": (marks, F.col("eff"))}
+    hit = differing_buckets(commit.warehouse, "terminals", snap, spec.attrs)
+    opened = commit.warehouse.open_rows("terminals", hit)
+    touched = snap.where(_in_buckets(commit.warehouse, spec.key, hit) | F.col(spec.key).isNull())
+    applied = scd2_apply_snapshot(opened, touched, spec.key, spec.attrs, eff_ts)
+    commit.put_history("terminals", applied, hit)
+    return {"terminals": as_datetime(eff_ts)}
+
+
+def _in_buckets(warehouse: Warehouse, key: str, buckets: set[int]) -> Column:
+    return warehouse.bucket(key).isin(sorted(buckets))
 
 
 def load_bank_table(commit: Commit, bank: Bank, table: str, run_ts: Moment) -> Newest:
-    """Apply the changes of a source table, and its deletions by comparing all keys."""
+    """Apply the changes of a source table, and its deletions by comparing all keys.
+
+    Only the folders of changed, new, deleted and returned keys are read whole and rewritten.
+    """
     spec, warehouse = schemas.DIMS[table], commit.warehouse
-    changes = commit.stage(
-        table, clean_bank_rows(table, bank.changes(table, warehouse.watermark(table)))
-    )
+    changed = clean_bank_rows(table, bank.changes(table, warehouse.watermark(table)))
+    changes = commit.stage(table, changed, change_time())
     keys = commit.stage(f"{table}_keys", clean_bank_rows(table, bank.keys(table)))
+    bucket = warehouse.bucket(spec.key)
+    hit = {r[0] for r in changes.select(bucket).distinct().collect()}
+    hit |= differing_buckets(warehouse, table, keys, [])
     applied = scd2_apply_incremental(
-        warehouse.open_rows(table),
+        warehouse.open_rows(table, hit),
         changes.withColumn("change_ts", change_time()),
         spec.key,
         spec.attrs,
         "change_ts",
         run_ts,
-        keys,
+        keys.where(_in_buckets(warehouse, spec.key, hit)),
     )
-    commit.put_history(table, applied)
-    return {table: (changes, change_time())}
+    commit.put_history(table, applied, hit)
+    return {table: commit.newest[table]}
 
 
 def read_blacklist(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -202,30 +238,30 @@ def run_load(
     run_ts: Moment,
     archive: str | None = None,
     skip_stored: bool = True,
+    strict: bool = False,
 ) -> list[Drop]:
     """Load the oldest waiting drop of each feed and the changes of the source tables.
 
     All or nothing: tables and marks change together at the end, any failure leaves the
     warehouse as it was, and the drops are set aside only after that. A second run over
-    the same input changes nothing. ``run_ts`` stamps deletions in the source tables.
+    the same input changes nothing. Lines of transactions that cannot be read are kept aside, or
+    fail the run when ``strict``. ``run_ts`` stamps deletions in the source tables.
     """
     spark = warehouse.spark
     drops = {feed: next_drop(spark, feeds, feed) for feed in FEED_NAMES}
     commit = warehouse.begin()
 
-    def transactions(**options: str) -> DataFrame:
-        path = drops["transactions"].path
-        return read_delimited(spark, path, schemas.STG_TRANSACTIONS, **options)
-
+    path = drops["transactions"].path
+    lines = read_delimited(spark, path, schemas.STG_TRANSACTIONS, keep_bad=not strict)
     listed = read_blacklist(spark, drops["blacklist"].path)
     terminals = read_terminals(spark, drops["terminals"].path)
     steps: list[Callable[[], Newest]] = [
-        lambda: load_transactions(commit, transactions, skip_stored),
+        lambda: load_transactions(commit, lines, skip_stored, strict),
         lambda: load_blacklist(commit, listed),
         lambda: load_terminals(commit, terminals, drops["terminals"].date),
         *[partial(load_bank_table, commit, bank, table, run_ts) for table in STG_BANK],
     ]
-    commit.put_watermarks(advance_watermark(warehouse.watermarks(), load_together(steps)))
+    commit.advance_watermarks(load_together(steps))
     commit.publish()
 
     if archive:

@@ -20,12 +20,29 @@ FEED_OPTIONS = {
 }
 
 
+#: Column with the whole line where its width is wrong, else NULL.
+BAD_LINE = "_bad_line"
+KEEP_BAD = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+
+
 def read_delimited(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType, **options: str
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType,
+    keep_bad: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Feed files as text columns named by ``schema``; nothing is inferred, so ids keep
-    their leading zeros."""
-    return spark.read.options(**{**FEED_OPTIONS, **options}).schema(schema).csv(paths)
+    their leading zeros. ``keep_bad``: lines of another width are kept in ``BAD_LINE``
+    rather than failing the read."""
+    bad = KEEP_BAD if keep_bad else {}
+    if keep_bad:
+        schema = with_bad_line(schema)
+    return spark.read.options(**{**FEED_OPTIONS, **bad, **options}).schema(schema).csv(paths)
+
+
+def with_bad_line(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

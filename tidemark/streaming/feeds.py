@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.operators.watermark import advance_watermark
 from tidemark.plans.load import Newest, load_blacklist, load_terminals, load_transactions
 from tidemark.plans.store import Commit, Warehouse
-from tidemark.sources.delimited import FEED_OPTIONS
+from tidemark.sources.delimited import FEED_OPTIONS, KEEP_BAD, with_bad_line
 from tidemark.sources.discovery import file_date
 from tidemark.sources.workbook import workbook_rows
 
@@ -50,12 +49,13 @@ def feed_source(
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if feed == "transactions":
-        return reader.options(**FEED_OPTIONS).schema(schemas.STG_TRANSACTIONS).csv(drops)
+        lines = with_bad_line(schemas.STG_TRANSACTIONS)
+        return reader.options(**{**FEED_OPTIONS, **KEEP_BAD}).schema(lines).csv(drops)
     return reader.format("binaryFile").schema(BINARY_FILE).load(drops)
 
 
 def _publish(commit: Commit, newest: Newest, feed: str | None, batch_id: int) -> None:
-    commit.put_watermarks(advance_watermark(commit.warehouse.watermarks(), newest))
+    commit.advance_watermarks(newest)
     if feed:
         commit.put_stream_batch(feed, batch_id)
     commit.publish()
@@ -63,15 +63,14 @@ def _publish(commit: Commit, newest: Newest, feed: str | None, batch_id: int) ->
 
 def _take_transactions(warehouse: Warehouse, batch: DataFrame, batch_id: int) -> None:
     commit = warehouse.begin()
-    newest = load_transactions(commit, lambda **_: batch)
+    newest = load_transactions(commit, batch, strict=False)
     _publish(commit, newest, "transactions", batch_id)
 
 
 def _take_blacklist(warehouse: Warehouse, batch: DataFrame, batch_id: int) -> None:
-    # Several days may arrive together, each repeating the whole list.
     rows = workbook_rows(batch, "blacklist", schemas.STG_BLACKLIST, dates=("entry_dt",))
     commit = warehouse.begin()
-    newest = load_blacklist(commit, rows.drop("path").distinct())
+    newest = load_blacklist(commit, rows)
     _publish(commit, newest, "blacklist", batch_id)
 
 
