@@ -302,8 +302,8 @@ def test_large_card_sets_filter_the_transactions_before_their_shuffle(spark, tmp
 
 
 def test_large_open_sets_are_written_by_many_tasks(shuffled, tmp_path):
-    """Rows of one part share a hash, but AQE splits what they would send to one task."""
-    warehouse = Warehouse.bootstrap(shuffled, str(tmp_path / "w"))
+    """Rows of one folder share a hash, but AQE splits what they would send to one task."""
+    warehouse = Warehouse.bootstrap(shuffled, str(tmp_path / "w"), buckets=1)
     cards, _, _ = dims(shuffled, 60_000)
     state = F.when(F.col("card_num").cast("int") % 1000 == 0, "closed").otherwise("open")
     commit = warehouse.begin()
