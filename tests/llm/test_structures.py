@@ -10,13 +10,14 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import brute  # noqa: E402
 
-from tidemark.llm import periodic, prefix_trie, queries, simhash  # noqa: E402
+from tidemark.llm import periodic, prefix_trie, queries, simhash, templates  # noqa: E402
 
 NODE = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 TURNS = "conv_id long, turn long, role string, text string, rep string, n string, conv string, d string"
@@ -191,3 +192,35 @@ def test_forest_is_bounded():
     """A bucket of mutually close fingerprints gives a link for each, not for each pair."""
     rows = simhash._forest(3)(iter([pa.RecordBatch.from_pydict({"fps": [[0, *(1 << b for b in range(40))]]})]))
     assert sum(b.num_rows for b in rows) == 40
+
+
+def test_lines_are_parsed_as_told(spark):
+    """Tokens, sizes, leaves and equal lines against regular expressions, with white space of every kind."""
+    blank = " \t\x0b\x85\xa0       　\r"
+    rng = random.Random(9)
+    pieces = ["a", "b1", "7", "é", "漢", "<*>", "--", "Ł", *blank, "\n", "\n"]
+    texts = [None, "", "\n", "x", "1 2 3", "٣ !", "　\n—\n"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row_key long, text string").repartition(3)
+    rows = templates._lines(docs, 3, 0.5, raw=True).collect()
+    want = {}
+    for i, t in enumerate(texts):
+        for pos, line in enumerate((t or "").split("\n")):
+            if regex.search(r"[\p{L}\p{N}]", line):
+                tokens = [x for x in regex.split(r"[ \t-\r\x85\p{Z}]+", line) if x]
+                want[i, pos] = (line, tokens, ["<*>" if regex.search("[0-9]", x) else x for x in tokens])
+    assert {(r.row_key, r.pos) for r in rows} == set(want)
+    leaves, lines = {}, {}
+    for r in rows:
+        line, tokens, masked = want[r.row_key, r.pos]
+        assert (r.n, r.size, r.all, r.raw.removesuffix("\n")) == (
+            len(tokens), len(line.encode()), len(texts[r.row_key].encode()), line
+        )
+        assert (r.leaf is None) == (len(tokens) < 3)
+        if r.leaf is not None:
+            assert leaves.setdefault(r.leaf, (len(tokens), masked[:3])) == (len(tokens), masked[:3])
+        whole = len(tokens) >= 3 and 2 * sum(m == t for m, t in zip(masked, tokens) if not regex.search("[0-9]", t)) >= len(tokens)
+        # a masked token is told from the text <*>, which no line needs to be
+        key = (whole, tuple(("*",) if regex.search("[0-9]", t) and whole else t for t in tokens))
+        assert lines.setdefault(r.line, key) == key
+    assert len(set(map(str, lines.values()))) == len(lines)

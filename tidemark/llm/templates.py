@@ -27,10 +27,16 @@ columns only those in `keep` are returned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import checkpointed
+from tidemark.llm.components import checkpointed, stored
+from tidemark.llm.words import ALNUM, Chunk, chunks, mix, powers, runs, segment_hash, signed
 
 #: Hashes in a broadcast set, at most (16 bytes each).
 BROADCAST_ROWS = 100_000
@@ -43,6 +49,7 @@ LONG_TOKENS, LONG_BYTES = 50, 300
 OWN = 0.2
 SPACE = r"[\s\x{85}\p{Z}]+"
 WORD = r"[\p{L}\p{N}]"
+ANY_WORD = regex.compile(WORD)
 
 
 def _tokens(text: Column) -> Column:
@@ -53,31 +60,113 @@ def _masked(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(t))
 
 
-def _lines(docs: DataFrame, min_tokens: int, constant: float) -> DataFrame:
-    """(row_key, content, all, pos, n, size, masked, leaf, line) of every line with a letter or digit.
+def blanks(data: np.ndarray) -> np.ndarray:
+    """The bytes of white space of any kind in UTF-8: what SPACE matches."""
+    out = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if not len(lead):
+        return out
+    padded = np.concatenate((data, np.zeros(2, np.uint8)))
+    a, b, c = padded[lead], padded[lead + 1], padded[lead + 2]
+    two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+    narrow = (b == 0x80) & (((c >= 0x80) & (c <= 0x8A)) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    three = (a == 0xE2) & (narrow | ((b == 0x81) & (c == 0x9F)))
+    three |= ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+    for at in (lead[two | three], lead[two | three] + 1, lead[three] + 2):
+        out[at] = True
+    return out
+
+
+def _in_order(hashes: np.ndarray, bounds: np.ndarray, base: int) -> np.ndarray:
+    """A hash of each group's hashes in their order; zero for an empty group."""
+    sizes = np.diff(bounds)
+    out = np.zeros(len(sizes), np.uint64)
+    has = sizes > 0
+    if has.any():
+        within = np.arange(len(hashes)) - np.repeat(bounds[:-1], sizes)
+        out[has] = mix(np.add.reduceat(hashes * powers(int(sizes.max()), base)[within], bounds[:-1][has]))
+    return out
+
+
+def _parsed(min_tokens: int, constant: float, raw: bool):
+    """Lines of texts, see `_lines`; raw: with each line itself."""
+
+    def of_chunk(chunk: Chunk, keys: pa.Array) -> pa.RecordBatch:
+        data, offsets = chunk.data, chunk.offsets
+        n_texts = len(offsets) - 1
+        breaks = np.flatnonzero(data == 0x0A)
+        per_text = 1 + np.bincount(np.searchsorted(offsets, breaks, "right") - 1, minlength=n_texts)
+        first = np.concatenate(([0], np.cumsum(per_text)))
+        n_lines = int(first[-1])
+        start, end = np.empty(n_lines, np.int64), np.empty(n_lines, np.int64)
+        inner = np.ones(n_lines, bool)
+        inner[first[:-1]] = False
+        start[first[:-1]], start[inner] = offsets[:-1], breaks + 1
+        inner[:] = True
+        inner[first[1:] - 1] = False
+        end[first[1:] - 1], end[inner] = offsets[1:], breaks
+        text = np.repeat(np.arange(n_texts), per_text)
+
+        t_start, t_end = runs(~blanks(data), offsets)
+        plain = segment_hash(data, t_start, t_end)
+        digits = np.concatenate(([0], np.cumsum((data >= 0x30) & (data <= 0x39))))
+        variable = digits[t_end] > digits[t_start]
+        masked = np.where(variable, np.uint64(1), plain)
+        t_text = np.searchsorted(offsets, t_start, "right") - 1
+        line = t_text + np.searchsorted(breaks, t_start)
+        n = np.bincount(line, minlength=n_lines)
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        stay = n - np.bincount(line[variable], minlength=n_lines)
+        of_text = np.concatenate(([0], np.cumsum(np.bincount(t_text, minlength=n_texts))))
+        content = _in_order(plain, of_text, 0x9FB21C651E98DF25)
+        whole = (n >= min_tokens) & (stay >= n * constant)
+        base = 0xD1B54A32D192ED03
+        hashed = np.where(whole, _in_order(masked, bounds, base), _in_order(plain, bounds, base))
+        padded = np.concatenate((masked, np.zeros(DEPTH, np.uint64)))
+        leaf = n.astype(np.uint64)
+        for depth in range(DEPTH):
+            token = np.where(n > depth, padded[bounds[:-1] + depth], np.uint64(0))
+            leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + token)
+
+        ascii_word = ALNUM.copy()
+        ascii_word[0x80:], ascii_word[0x41:0x5B] = False, True
+        words = np.concatenate(([0], np.cumsum(ascii_word[data])))
+        keep = words[end] > words[start]
+        for i in np.flatnonzero(~keep & (n > 0)).tolist():
+            keep[i] = ANY_WORD.search(data[start[i] : end[i]].tobytes().decode()) is not None
+        kept = pa.array(keep)
+        columns = {
+            "row_key": keys.take(pa.array(text)),
+            "content": signed(content[text]),
+            "all": pa.array(np.diff(offsets)[text]),
+            "pos": pa.array((np.arange(n_lines) - first[text]).astype(np.int32)),
+            "n": pa.array(n.astype(np.int32)),
+            "size": pa.array((end - start).astype(np.int32)),
+            "leaf": pa.array(leaf.view(np.int64), mask=n < min_tokens),
+            "line": signed(hashed),
+        }
+        if raw:
+            lengths = pa.py_buffer(np.append(start, len(data)).astype(np.int32).tobytes())
+            columns["raw"] = pa.StringArray.from_buffers(n_lines, lengths, pa.py_buffer(data.tobytes()))
+        return pa.RecordBatch.from_arrays([c.filter(kept) for c in columns.values()], list(columns))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column("text")):
+                yield of_chunk(chunk, batch.column("row_key").slice(chunk.first, chunk.last - chunk.first))
+
+    return rows
+
+
+def _lines(docs: DataFrame, min_tokens: int, constant: float, raw: bool = False) -> DataFrame:
+    """(row_key, content, all, pos, n, size, leaf, line) of every line with a letter or digit.
 
     content is the hash of the tokens of the whole text, all its bytes; line that of the masked tokens, or of the
-    tokens as they are if too few stay; leaf is null for lines that no template is made of.
+    tokens as they are if too few stay; leaf is null for lines that no template is made of. raw: the line too.
     """
-    # before the explode, or the whole text would be split again for each of its lines
-    texts = docs.select("row_key", "text", F.xxhash64(_tokens(F.col("text"))).alias("content"), F.octet_length("text").alias("all"))
-    lines = texts.select("row_key", "content", "all", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.where(F.col("line").rlike(WORD))
-    parsed = lines.select("row_key", "content", "all", "pos", F.octet_length("line").alias("size"), _tokens(F.col("line")).alias("tokens"))
-    parsed = parsed.withColumn("masked", _masked(F.col("tokens"))).withColumn("n", F.size("tokens"))
-    stay = F.size(F.array_remove("masked", VARIABLE))
-    whole = (F.col("n") >= min_tokens) & (stay >= F.col("n") * constant)
-    return parsed.select(
-        "row_key",
-        "content",
-        "all",
-        "pos",
-        "n",
-        "size",
-        "masked",
-        F.when(F.col("n") >= min_tokens, F.xxhash64("n", F.slice("masked", 1, DEPTH))).alias("leaf"),
-        F.when(whole, F.xxhash64("masked")).otherwise(F.xxhash64("tokens")).alias("line"),
-    )
+    schema = "row_key long, content long, all long, pos int, n int, size int, leaf long, line long"
+    schema += ", raw string" if raw else ""
+    return docs.mapInArrow(_parsed(min_tokens, constant, raw), schema)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -152,7 +241,9 @@ def drop_recurring(
         *(df[c].alias(f"keep_{c}") for c in keep),
         df[text_col].alias("text"),
     )
-    lines = _lines(docs.select("row_key", "text"), min_tokens, constant)
+    texts = docs.select("row_key", "text")
+    # parsed once for all lines' hashes, and once more for the lines of recurring leaves themselves
+    lines = stored(_lines(texts, min_tokens, constant))
     seen = lines.groupBy("line", "content").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("size").alias("size"))
     seen = checkpointed(seen)
     counts = seen.groupBy("line").agg(
@@ -160,8 +251,8 @@ def drop_recurring(
     )
     shared = checkpointed(counts.where(F.col("n_docs") >= 2))
     leaves = _small(_recurring_leaves(seen, min_docs))
-    # the texts are parsed three times in all: for the hashes, for the tokens of recurring leaves, and for the places
-    tokens = lines.join(leaves, "leaf").groupBy("line").agg(F.first("masked").alias("tokens"))
+    tokens = _lines(texts, min_tokens, constant, raw=True).join(leaves, "leaf").groupBy("line").agg(F.first("raw").alias("raw"))
+    tokens = tokens.select("line", _masked(_tokens(F.col("raw"))).alias("tokens"))
     distinct = checkpointed(counts.join(leaves, "leaf").select("leaf", "line", "n_docs").join(tokens, "line"))
     equal = shared.where(F.col("n_docs") >= min_docs).select("line")
     few = long_lines(seen, shared, min_docs, long_docs)
