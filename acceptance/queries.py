@@ -134,13 +134,13 @@ def _src_file_date(s: Sample) -> DataFrame:
 
 @query("src_workbook")
 def _src_workbook(s: Sample) -> DataFrame:
-    """Customers as workbooks of up to 50,000 rows, with numbers, text and dates."""
+    """Customers as workbooks of up to 500 rows, with numbers, text and dates, behind a sheet of notes."""
     rows = s.table("customer").select(
         "c_custkey",
         "c_name",
         "c_nationkey",
         (F.col("c_custkey") % 800).alias("days"),
-        F.floor(F.col("c_custkey") / 50_000).alias("book"),
+        F.floor(F.col("c_custkey") / 500).alias("book"),
     )
 
     def write(book: pd.DataFrame) -> pd.DataFrame:
@@ -150,7 +150,7 @@ def _src_workbook(s: Sample) -> DataFrame:
             [int(r.c_custkey), r.c_name, int(r.c_nationkey), start + timedelta(r.days)]
             for r in book.itertuples()
         ]
-        content = workbook_bytes({"customers": [header, *sheet]})
+        content = workbook_bytes({"notes": [["id"], ["none"]], "customers": [header, *sheet]})
         return pd.DataFrame({"path": [f"book-{book.book.iloc[0]}"], "content": [content]})
 
     books = rows.groupBy("book").applyInPandas(write, "path string, content binary")

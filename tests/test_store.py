@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.operators import read_watermark, scd2_apply_snapshot
 from tidemark.plans.load import load_bank_table, load_terminals, load_transactions
 from tidemark.plans import ConcurrentLoadError, FrameBank, Warehouse, run_backlog, run_load, run_report
-from tidemark.sources import MissingFeedError
+from tidemark.sources import MissingFeedError, waiting_days
 from tidemark.streaming import feed_stream
 
 D1, D2, D3 = (datetime(2021, 3, d) for d in (1, 2, 3))
@@ -234,6 +234,22 @@ def test_missing_feed_stops_the_run(spark, place):
     assert warehouse.manifest()["version"] == 0
 
 
+def test_days_are_never_mixed(spark, place):
+    """A day without one of its drops stops the backlog there, with the days before loaded."""
+    warehouse, feeds, archive = place
+    for day in (D1, D2, D3):
+        drop_all(feeds, day)
+    next(feeds.glob("passport_blacklist_02032021*")).unlink()
+    with pytest.raises(MissingFeedError, match=r"2021-03-02 has no drop of blacklist; gaps: .*'2021-03-02'"):
+        run_backlog(warehouse, str(feeds), bank(spark), D3, str(archive))
+    assert warehouse.manifest()["version"] == 1 and warehouse.watermark("terminals") == D1
+    days = waiting_days(spark, str(feeds))
+    assert [sorted(d) for d in days.values()] == [["terminals", "transactions"], ["blacklist", "terminals", "transactions"]]
+    blacklist_drop(feeds, D2, [(D2, "p2")])
+    assert run_backlog(warehouse, str(feeds), bank(spark), D3, str(archive)) == 2
+    assert warehouse.watermark("terminals") == D3
+
+
 def test_of_two_runs_at_once_one_must_start_again(spark, place):
     warehouse = place[0]
     one, other = warehouse.begin(), warehouse.begin()

@@ -28,7 +28,7 @@ from tidemark.operators.watermark import incremental
 from tidemark.plans.store import Commit, Warehouse
 from tidemark.sources.archive import archive_drops
 from tidemark.sources.delimited import read_delimited
-from tidemark.sources.discovery import FEED_NAMES, Drop, discover_feed, file_date, next_drop
+from tidemark.sources.discovery import Drop, file_date, next_day, waiting_days
 from tidemark.sources.jdbc import JdbcSource, jdbc_incremental, jdbc_table
 from tidemark.sources.workbook import read_workbook
 
@@ -240,7 +240,7 @@ def run_load(
     skip_stored: bool = True,
     strict: bool = False,
 ) -> list[Drop]:
-    """Load the oldest waiting drop of each feed and the changes of the source tables.
+    """Load the drops of the oldest waiting day and the changes of the source tables.
 
     All or nothing: tables and marks change together at the end, any failure leaves the
     warehouse as it was, and the drops are set aside only after that. A second run over
@@ -248,7 +248,7 @@ def run_load(
     fail the run when ``strict``. ``run_ts`` stamps deletions in the source tables.
     """
     spark = warehouse.spark
-    drops = {feed: next_drop(spark, feeds, feed) for feed in FEED_NAMES}
+    drops = next_day(spark, feeds)
     commit = warehouse.begin()
 
     path = drops["transactions"].path
@@ -272,9 +272,10 @@ def run_load(
 def run_backlog(
     warehouse: Warehouse, feeds: str, bank: Bank, run_ts: Moment, archive: str
 ) -> int:
-    """Load waiting drops day by day, oldest first, until a feed has none left."""
+    """Load waiting drops day by day, oldest first, until none is left. A day that lacks the drop of
+    a feed is an error, raised once the days before it are loaded."""
     loads = 0
-    while all(discover_feed(warehouse.spark, feeds, feed) for feed in FEED_NAMES):
+    while waiting_days(warehouse.spark, feeds):
         run_load(warehouse, feeds, bank, run_ts, archive)
         loads += 1
     return loads

@@ -7,8 +7,10 @@ from tidemark.sources.discovery import (
     MissingFeedError,
     discover_feed,
     file_date,
+    next_day,
     next_drop,
     stamp_file_date,
+    waiting_days,
 )
 from tidemark.sources.jdbc import SINGLE_TASK, JdbcSource, jdbc_incremental, jdbc_table
 from tidemark.sources.workbook import WorkbookError, read_workbook, workbook_rows
@@ -24,10 +26,12 @@ __all__ = [
     "file_date",
     "jdbc_incremental",
     "jdbc_table",
+    "next_day",
     "next_drop",
     "read_delimited",
     "read_workbook",
     "stamp_file_date",
     "workbook_rows",
     "write_delimited",
+    "waiting_days",
 ]

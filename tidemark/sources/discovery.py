@@ -63,6 +63,30 @@ def next_drop(spark: SparkSession, folder: str, feed: str) -> Drop:
     return waiting[0]
 
 
+def waiting_days(spark: SparkSession, folder: str) -> dict[datetime, dict[str, Drop]]:
+    """The waiting drops of all feeds by business date, oldest first. A day on which a feed has no drop
+    lacks it in its entry."""
+    days: dict[datetime, dict[str, Drop]] = {}
+    for feed in FEED_NAMES:
+        for drop in discover_feed(spark, folder, feed):
+            days.setdefault(drop.date, {})[feed] = drop
+    return dict(sorted(days.items()))
+
+
+def next_day(spark: SparkSession, folder: str) -> dict[str, Drop]:
+    """The drops of the oldest waiting day. It is an error if any feed has none for that day: days are
+    never mixed, and none is passed over."""
+    days = waiting_days(spark, folder)
+    if not days:
+        raise MissingFeedError(f"no drop of any feed in {folder}")
+    day, drops = next(iter(days.items()))
+    gaps = {d.date().isoformat(): sorted(set(FEED_NAMES) - set(found)) for d, found in days.items()}
+    if missing := gaps[day.date().isoformat()]:
+        others = {d: m for d, m in gaps.items() if m}
+        raise MissingFeedError(f"{day.date()} has no drop of {', '.join(missing)}; gaps: {others}")
+    return drops
+
+
 def file_date(path: Column) -> Column:
     """Business date from the drop's name anywhere in a file path."""
     return parse_dates(F.regexp_extract(path, _STAMP, 1), FILE_DATE_PATTERN)

@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
-from tidemark.plans.load import Newest, load_blacklist, load_terminals, load_transactions
+from tidemark.plans.load import (
+    Newest,
+    load_blacklist,
+    load_terminals,
+    load_transactions,
+    read_terminals,
+)
 from tidemark.plans.store import Commit, Warehouse
 from tidemark.sources.delimited import FEED_OPTIONS, KEEP_BAD, with_bad_line
 from tidemark.sources.discovery import file_date
@@ -77,13 +83,13 @@ def _take_blacklist(warehouse: Warehouse, batch: DataFrame, batch_id: int) -> No
 def _take_terminals(warehouse: Warehouse, batch: DataFrame, batch_id: int) -> None:
     # Each day is a full snapshot, so the days are applied one after the other. A batch
     # repeated after a failure skips the days already applied.
-    dated = batch.withColumn("file_date", file_date(F.col("path")))
-    days = sorted(r[0] for r in dated.select("file_date").distinct().collect())
+    # The names alone are looked at for the days, and each workbook is read once, for its own.
+    named = batch.select("path", file_date(F.col("path")).alias("day")).distinct().collect()
+    days = sorted({r.day for r in named})
     for day in days:
-        files_of_day = dated.where(F.col("file_date") == F.lit(day).cast("timestamp_ntz"))
-        rows = workbook_rows(files_of_day, "terminals", schemas.STG_TERMINALS_DRAFT)
+        rows = read_terminals(warehouse.spark, [r.path for r in named if r.day == day])
         commit = warehouse.begin()
-        newest = load_terminals(commit, rows.drop("path"), day)
+        newest = load_terminals(commit, rows, day)
         _publish(commit, newest, "terminals" if day == days[-1] else None, batch_id)
 
 
