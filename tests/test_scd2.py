@@ -197,6 +197,14 @@ def test_close_versions_takes_the_earliest_later_start(spark, hotness):
     assert collected(closed) == [("x", "1", "1", day(3), day(70) - SECOND, "N")]
 
 
+def test_rows_without_a_key_close_nothing(spark, hotness):
+    """They never match each other, and do not reach the window by key."""
+    updates = spark.createDataFrame([(None, "x", "y", day(2)), ("k", "x", "y", day(2))], CHANGES)
+    stored = opened(spark, (None, "a", "b", T0, "N"), ("k", "a", "b", T0, "N"))
+    closed = op.scd2_close_versions(stored, updates, "k", ["a", "b"], op_column("at"))
+    assert [(r.k, r.effective_to) for r in closed.collect()] == [("k", day(2) - SECOND)]
+
+
 def op_column(name):
     from pyspark.sql import functions as F
 

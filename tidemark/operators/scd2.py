@@ -48,8 +48,10 @@ def scd2_close_versions(
     """The open versions that ``updates`` supersede, closed one second before the new start.
 
     Only a strictly later start closes a version. Of several updates of a key the
-    earliest one closes it; the others follow each other.
+    earliest one closes it; the others follow each other. Rows without a key close nothing
+    and are left out first, so that they do not meet in one window.
     """
+    open_rows, updates = (df.where(F.col(key).isNotNull()) for df in (open_rows, updates))
     marks = (
         updates.select(key, ntz(start).alias("effective_from"))
         .distinct()
