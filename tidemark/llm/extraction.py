@@ -7,7 +7,9 @@ same parent element, are joined by smoothness edges, so a block of little eviden
 surroundings. The minimum cut separates content (source side) from boilerplate (sink side).
 
 Scripts, styles, comments and the head hold no text. Text that no element of the page marks is
-judged by length, links and words of its class and id names.
+judged by length, links and words of its class and id names. Names of the html and body elements
+say nothing, as these hold the whole page; a name around an article or main element counts only if
+another article or main element stands outside such names.
 
 Defined results: null or empty html gives an empty text; broken markup is read as far as it goes
 (a tag that the page ends in is dropped); equal pages are extracted each; an empty table gives an
@@ -26,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<end>>|\Z)|<[!?][^>]*(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>=]+|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?)*+)(?P<end>>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-_SPACE = re.compile(r"[\x20\t\n\r\f\v\xa0]+")
+_SPACE = re.compile(r"\s+")
 
 # Elements of HTML by their role.
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas".split())
+#: Silent elements of which only an end tag shows that they hold anything.
+EMBEDDED = frozenset("svg math iframe object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -54,6 +58,10 @@ BAD_NAMES = re.compile(
 )
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|body|content|entry|main|post|story|text|prose)(?:$|[\s_-])", re.I)
 
+#: Class names that make an article the page's own, whatever stands beside them.
+OWN_NAMES = frozenset("article content entry hentry main post story".split())
+REMARKS = re.compile(r"comment|repl(?:y|ies)", re.I)
+
 #: Smoothness: between neighbours, and between blocks below one parent.
 NEAR, SIBLING = 0.6, 0.5
 SCALE = 1000
@@ -71,6 +79,7 @@ class Block:
     content: bool = False
     bad: bool = False
     good: bool = False
+    outer: bool = False  # a bad name stands around the article that holds it
 
     def joined(self) -> str:
         return _SPACE.sub(" ", html.unescape("".join(self.text))).strip(" ")
@@ -87,6 +96,7 @@ class _Open:
     bad: bool = False
     good: bool = False
     hidden: bool = False
+    outer: bool = False
 
 
 def _names(rest: str) -> tuple[str, bool]:
@@ -120,7 +130,7 @@ def blocks(page: str) -> list[Block]:
                 return
             inside = next((x for x in reversed(stack) if x.name in BLOCK or not x.name), stack[0])
             parent = next((x.number for x in reversed(stack[: stack.index(inside)])), 0)
-            current = Block(parent, [], 0, inside.name, top.boiler, top.content, top.bad, top.good)
+            current = Block(parent, [], 0, inside.name, top.boiler, top.content, top.bad, top.good, top.outer)
             out.append(current)
         current.text.append(text)
         if links:
@@ -150,10 +160,11 @@ def blocks(page: str) -> list[Block]:
                 del stack[depth:]
             continue
         if name in SILENT:
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name == "head":
+            if name == "head" or (name in EMBEDDED and m["rest"].endswith("/")):
                 continue
-            at = close.end() if close else n
+            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if close or name not in EMBEDDED:
+                at = close.end() if close else n
             continue
         if name in VOID or m["rest"].endswith("/"):
             continue
@@ -169,7 +180,11 @@ def blocks(page: str) -> list[Block]:
         top = stack[-1]
         # a header within the article holds its headline
         boiler = name in BOILER and not (name == "header" and top.content)
-        bad = bool(names) and bool(BAD_NAMES.search(names))
+        bad = bool(names) and name not in ("html", "body") and bool(BAD_NAMES.search(names))
+        if bad and name in CONTENT and not REMARKS.search(names):
+            bad = OWN_NAMES.isdisjoint(names.lower().split())
+        # what stands around the outermost article or main is judged when the whole page is known
+        begins = name in CONTENT and not boiler and not top.content
         good = bool(names) and not bad and bool(GOOD_NAMES.search(names))
         stack.append(
             _Open(
@@ -177,12 +192,17 @@ def blocks(page: str) -> list[Block]:
                 number,
                 top.boiler or boiler,
                 (top.content or name in CONTENT) and not boiler,
-                top.bad or bad,
+                bad or (top.bad and not begins),
                 top.good or good,
                 top.hidden or hidden,
+                top.outer or (begins and top.bad),
             )
         )
-    return [b for b in out if b.joined()]
+    found = [b for b in out if b.joined()]
+    if any(b.content and not (b.outer or b.bad or b.boiler) for b in found):
+        for b in found:
+            b.bad = b.bad or b.outer
+    return found
 
 
 def costs(block: Block) -> tuple[float, float]:

@@ -4,7 +4,9 @@ Templates are short license references, notices and the openings of license text
 word k-grams of all texts are joined with the positions at which templates hold the same k-gram.
 A hit at word p of the text and word q of the template votes for diagonal p - q. Votes are
 gathered by text, template and diagonal; diagonals at most `gap` apart, which words added or left
-out produce, are merged; a merged span counts if enough of the template's words are covered.
+out produce, are merged; a merged span is verified: enough of the template's words must be covered, and
+all k-grams that tell the template from a similar one with another label (CC BY from CC BY-NC, one
+version of the GPL from another) must be hit.
 K-grams are compared by two independent 64-bit hashes: the first finds, the second verifies.
 
 A template that must stand word for word (a phrase) counts on each diagonal with all votes.
@@ -59,6 +61,30 @@ TEMPLATES = (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by", "Licensed under CC BY 4.0"),
+    (
+        "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    (
+        "cc-by-nd",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    ),
+    (
+        "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ),
+    (
+        "cc-by-nc-nd",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    ),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2"),
+    (
+        "gpl-2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License",
+    ),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
     (
         "gpl-3",
@@ -87,16 +113,40 @@ def _word_grams(text: str, k: int) -> tuple[int, np.ndarray, np.ndarray]:
     return len(words.start), gram_hash(words.hash, k), gram_hash(words.hash, k, _SECOND)
 
 
+def telling_grams(templates: list[tuple[str, int, list]]) -> list[list[int]]:
+    """For each (label, size, k-grams) the k-grams that a similar template of another label lacks.
+
+    Similar: that template's k-grams cover half of this one's words.
+    """
+    out = []
+    for label, size, grams in templates:
+        needs: set[int] = set()
+        for other, _, theirs in templates:
+            if other == label:
+                continue
+            shared = [q for q, g in enumerate(grams) if g in set(theirs)]
+            if 2 * len({w for q in shared for w in range(q, q + K)}) >= size:
+                needs |= set(range(len(grams))) - set(shared)
+        out.append(sorted(needs))
+    return out
+
+
 def template_grams(spark, phrases, templates) -> DataFrame:
-    """(h1, h2, template, label, exact, size, q): a row for each k-gram of each template."""
-    rows = []
-    for number, (exact, label, text) in enumerate([(1, *p) for p in phrases] + [(0, *t) for t in templates]):
+    """(h1, h2, template, label, exact, size, q, needs): a row for each k-gram of each template."""
+    known = []
+    for label, text in [*phrases, *templates]:
         size, h1, h2 = _word_grams(text, K)
         if size < K:
             raise ValueError(f"a template needs {K} words: {text!r}")
-        for q, (a, b) in enumerate(zip(h1.view(np.int64).tolist(), h2.view(np.int64).tolist(), strict=True)):
-            rows.append((a, b, number, label, exact, size, q))
-    return spark.createDataFrame(rows, "h1 long, h2 long, template int, label string, exact int, size int, q int")
+        known.append((label, size, list(zip(h1.view(np.int64).tolist(), h2.view(np.int64).tolist(), strict=True))))
+    needs = [[]] * len(phrases) + telling_grams(known[len(phrases) :])
+    rows = [
+        (*gram, number, label, int(number < len(phrases)), size, q, needs[number])
+        for number, (label, size, grams) in enumerate(known)
+        for q, gram in enumerate(grams)
+    ]
+    kinds = "h1 long, h2 long, template int, label string, exact int, size int, q int, needs array<int>"
+    return spark.createDataFrame(rows, kinds)
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +191,7 @@ def scan(
     known = F.broadcast(template_grams(df.sparkSession, phrases, templates))
     head = F.col("p") == -1
     hits = grams.join(known, (~head) & (grams.h1 == known.h1) & (grams.h2 == known.h2), "left").select(
-        "row_key", "doc_id", "p", "n_words", "template", "label", "exact", "size", "q"
+        "row_key", "doc_id", "p", "n_words", "template", "label", "exact", "size", "q", "needs"
     )
     hits = hits.where(head | F.col("template").isNotNull())
     # votes by diagonal; the head row of each text is kept as one with no template
@@ -151,6 +201,7 @@ def scan(
         F.first("label").alias("label"),
         F.first("exact").alias("exact"),
         F.first("size").alias("size"),
+        F.first("needs").alias("needs"),
         F.collect_set("q").alias("qs"),
     )
     by_template = Window.partitionBy("row_key", "template").orderBy("diagonal")
@@ -162,6 +213,7 @@ def scan(
         F.first("label").alias("label"),
         F.first("exact").alias("exact"),
         F.first("size").alias("size"),
+        F.first("needs").alias("needs"),
         F.min("diagonal").alias("low"),
         F.collect_list(F.struct("diagonal", F.size("qs").alias("n"))).alias("diagonals"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("qs"),
@@ -184,7 +236,9 @@ def scan(
         F.transform(full, lambda d: F.struct(d["diagonal"].alias("start"), F.col("label").alias("label"))),
     )
     template_span = F.when(
-        (F.col("exact") == 0) & (F.col("coverage") >= settings.coverage),
+        (F.col("exact") == 0)
+        & (F.col("coverage") >= settings.coverage)
+        & (F.size(F.array_except("needs", "qs")) == 0),
         F.struct("start", "end", "label", "coverage"),
     )
     return merged.groupBy("row_key").agg(

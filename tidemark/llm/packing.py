@@ -16,6 +16,7 @@ are left out.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ROWS = 2000
+#: Runs of white space (of the pattern's kind) so long that matching them would exhaust the pattern's stack.
+_BLANKS = re.compile(r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 @dataclass(frozen=True)
@@ -65,8 +68,21 @@ class Vocabulary:
 
     def encode(self, text: str) -> np.ndarray:
         coder = _encoding(self.ranks, self.pattern, self.specials)
-        ids = coder.encode(text, allowed_special="all", disallowed_special=()) if self.specials else None
-        return np.array([*(coder.encode_ordinary(text) if ids is None else ids), self.end], np.uint32)
+        ids: list[int] = []
+        at = 0
+        for run in _BLANKS.finditer(text):
+            # the pattern takes a run as one piece, but leaves its last character to a text that follows
+            last = run.end() == len(text) or any(text.startswith(s, run.end()) for s, _ in self.specials)
+            cut = run.end() if last else run.end() - 1
+            ids += self._plain(coder, text[at : run.start()])
+            ids += coder._encode_single_piece(text[run.start() : cut])
+            at = cut
+        return np.array([*ids, *self._plain(coder, text[at:]), self.end], np.uint32)
+
+    def _plain(self, coder: tiktoken.Encoding, text: str) -> list[int]:
+        if self.specials:
+            return coder.encode(text, allowed_special="all", disallowed_special=())
+        return coder.encode_ordinary(text)
 
 
 @dataclass
