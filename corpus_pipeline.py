@@ -6,24 +6,42 @@ below the shared checkpoint folder and reads it again for the next, so a lost ex
 most a stage's tasks, never the stages before.
 
 Null texts pass the first stages as empty texts would; rows with null in other columns are kept;
-an empty table gives an empty result.
+an empty table gives an empty result. A stage bounds the bytes of a batch for Python workers, so texts of any
+usual length pass in an executor's memory.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, neardup, packing, templates, toxicity
 from tidemark.llm.queries import table, vocabulary
-from tidemark.session import scratch_path
+from tidemark.session import bound_batches, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 OTHERS = ("lang", "source", "n_chars")
 #: Score from which a document is rejected as toxic.
 REJECT = 0.3
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def bounded(stage: Stage) -> Stage:
+    """The stage, with batches of bounded bytes."""
+
+    @wraps(stage)
+    def begun(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return begun
+
 
+@bounded
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below REJECT; the model learns from the labelled rows of this table."""
     model = toxicity.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
@@ -34,6 +52,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("original").alias("text"), *OTHERS)
 
 
+@bounded
 def boilerplate_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines whose template recurs; n_chars follows the text."""
     cleaned = templates.drop_recurring(docs, keep=OTHERS)
@@ -41,11 +60,13 @@ def boilerplate_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return cleaned.select("doc_id", "text", "lang", "source", n_chars.alias("n_chars"))
 
 
+@bounded
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one of the smallest id."""
     return neardup.near_duplicates(docs, keep=("text", *OTHERS)).where("chosen").select(*COLUMNS)
 
 
+@bounded
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark passages."""
     found = decontam.digest(
@@ -54,6 +75,7 @@ def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return found.where(~F.col("contaminated")).select(*COLUMNS)
 
 
+@bounded
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in training sequences."""
     pieces = packing.pack(docs, vocabulary())

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,6 +33,7 @@ from tidemark.llm import (  # noqa: E402
     toxicity,
     words,
 )
+from tidemark.session import BATCH_BYTES, settings  # noqa: E402
 
 rng = random.Random(7)
 VOCABULARY = ["the", "of", "über", "thndea", "onré", "x1", "la", "Ñandú", "st", "erin"]
@@ -544,3 +546,24 @@ def test_pipeline(spark, tmp_path):
     for r in rows:
         part = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
         assert r["ids_crc32"] == zlib.crc32(part.tobytes())
+
+
+def test_stages_bound_what_a_python_worker_is_sent(spark):
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    docs = spark.range(0, 6000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 100).alias("text"),
+        *(F.lit(None).cast("string").alias(c) for c in ("lang", "source")), F.lit(1100).cast("long").alias("n_chars"),
+    )
+    for before, bound in ((None, 1 << 20), ("200k", 200 << 10)):
+        with settings(spark, {BATCH_BYTES: before or "1g"}):
+            if not before:
+                spark.conf.unset(BATCH_BYTES)
+            corpus_pipeline.packed(spark, docs, "")
+            sent = [r["bytes"] for r in docs.mapInArrow(batch_bytes, "bytes long").collect()]
+            assert sum(sent) >= 6000 * 1100
+            assert max(sent) <= 1.1 * bound
+    # all stages are described that way
+    assert all(stage.__wrapped__ for _, stage in corpus_pipeline.STAGES)
