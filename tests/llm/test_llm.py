@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -11,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -190,6 +192,30 @@ def test_special_strings_are_special_as_by_default(spark):
     assert VOCAB.encode(text).tolist() == [*coder.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_encoding_makes_no_number_of_each_id():
+    text = "thndea onré erinx " * 40_000
+    VOCAB.encode(text[:100])
+    tracemalloc.start()
+    ids = VOCAB.encode(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert ids.dtype == np.uint32
+    assert peak < 16 * len(ids)
+
+
+def test_patterns_split_alike():
+    coder = packing._encoding(VOCAB.ranks, VOCAB.pattern, VOCAB.specials)
+    assert coder._pat_str != VOCAB.pattern
+    plain = tiktoken.Encoding(
+        "plain", pat_str=VOCAB.pattern, mergeable_ranks=coder._mergeable_ranks, special_tokens=dict(VOCAB.specials)
+    )
+    parts = [*" \t\n\r\x0b\x85\xa0\u2003'stlré日1٣½_-!\u0301\u200d", "  ", "'ll", "'RE", "<|endoftext|>"]
+    own = random.Random(3)
+    for _ in range(5000):
+        text = "".join(own.choice(parts) for _ in range(own.randrange(12)))
+        assert VOCAB.encode(text).tolist() == [*plain.encode(text, allowed_special="all", disallowed_special=()), 1], text
+
+
 def test_packing_keeps_all_limits(spark):
     rows = [(i, prose(rng.randrange(1, 120)), rng.randrange(0, 30)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, prompt long")
